@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import mixing, quality_rules, sharding
+from . import matroska, mixing, near_dup, packing, quality_rules, sharding
 
 QUERIES = {
     "op2_rule_ledger": quality_rules.op2_rule_ledger,
     "op3_interleave": sharding.op3_interleave,
+    "op4_matroska": matroska.op4_matroska,
+    "op7_pivot_simhash": near_dup.op7_pivot_simhash,
     "op8_systematic_mix": mixing.op8_systematic_mix,
+    "op9_bounded_space": packing.op9_bounded_space,
 }
 
 SQL = {
