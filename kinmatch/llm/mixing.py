@@ -78,6 +78,13 @@ def mix(docs: DataFrame, size: Column | None = None, weights: tuple[float, ...]
     return copies(sizes, targets(sizes, weights, share, most), seed)
 
 
+def sample(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = SEED) -> DataFrame:
+    """The rows of `docs`, each as often as the mix takes it, with their own columns."""
+    rows = docs.withColumn("size", word_count(F.col("text")))
+    drawn = copies(rows, targets(rows.select("source", "size"), weights, share, most), seed).where("copies > 0")
+    return drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+
+
 def op8_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mix(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")

@@ -127,6 +127,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(classes, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
 
 
+def keep_first(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` that remain when each component keeps the row of its smallest id.
+
+    Of rows with equal ids one remains; rows without an id can't be named and all remain."""
+    found = written(near_duplicates(docs).where("doc_id is not null"), "classes")
+    later = found.where("doc_id <> component_id").select("doc_id")
+    again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")  # none where ids are unique
+    once = docs.join(later.union(again).withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left_anti")
+    of_many = docs.join(again.join(later, "doc_id", "left_anti").withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
+    return once.union(of_many)
+
+
 def op7_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_duplicates(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -70,8 +70,9 @@ def _repeat_words(words: Column) -> Column:
     return F.when(F.size(words) < WINDOW, F.lit(0).cast("long")).otherwise(let(hashes, twice))
 
 
-def measurements(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of `docs`: the id and all measurements (long)."""
+def measurements(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of `docs`: the id, or the columns in `carry`, and all measurements (long)."""
+    names = carry or (id_col,)
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x, F.lit(WORD_SPACE)) != "")
     without = lambda chars: F.length(F.translate(text, chars, ""))
@@ -81,22 +82,22 @@ def measurements(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     line_counts = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
     return docs.select(
-        F.col(id_col),
+        *names,
         measured.alias("_words"),
         line_counts.alias("_lines"),
         without(WORD_SPACE).cast("long").alias("word_chars"),
         (F.length(text) - without(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.length(text) - without("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).cast("long").alias("n_upper"),
-    ).select(id_col, "_words.n_words", "word_chars", "n_symbols", "_lines.n_dup_lines", "_words.n_repeat_words", "_lines.n_lines", "n_upper")
+    ).select(*names, "_words.n_words", "word_chars", "n_symbols", "_lines.n_dup_lines", "_words.n_repeat_words", "_lines.n_lines", "n_upper")
 
 
-def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """The measurements and `failure_bits`, one bit for each of RULES."""
     bits = None
     for name, failed in RULES:
         bit = F.when(F.expr(failed), F.lit(BIT[name])).otherwise(F.lit(0))
         bits = bit if bits is None else bits.bitwiseOR(bit)
-    return measurements(docs, id_col, text_col).withColumn("failure_bits", bits.cast("long"))
+    return measurements(docs, id_col, text_col, carry).withColumn("failure_bits", bits.cast("long"))
 
 
 def kept_by(policy: str | list[str]) -> Column:
