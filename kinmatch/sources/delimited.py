@@ -61,7 +61,7 @@ def id_lists(s1: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
 def write_tsv(df: DataFrame, path: str, order: Column | str | None = None, one_file: bool = False) -> None:
     """Rows in `order` (a range-partitioned sort); `one_file` only for hand-over files."""
     df = df.orderBy(order) if order is not None else df
-    (df.coalesce(1) if one_file else df).write.mode("overwrite").csv(path, sep="\t", header=True, emptyValue="", nullValue="", quote="", escape="")
+    (df.coalesce(1) if one_file else df).write.mode("overwrite").csv(path, sep="\t", header=True, emptyValue="", nullValue="", quote="", escape="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def result_stats(results: DataFrame, column: str = "matched_entity_ids") -> DataFrame:

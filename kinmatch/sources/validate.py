@@ -15,7 +15,7 @@ def parsed(spark: SparkSession, path: str) -> DataFrame:
 
 def parsed_lines(lines: DataFrame) -> DataFrame:
     parts = F.split("value", "\t", 2)
-    ids = F.filter(F.transform(F.split(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), ","), F.trim), lambda x: x != "")
+    ids = F.filter(F.transform(F.split(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
     return lines.where(F.trim("value") != "").select("value", F.trim(F.get(parts, F.lit(0))).alias("id"), ids.alias("ids"), (F.instr("value", "\t") == 0).alias("malformed"))
 
 
