@@ -43,6 +43,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that go to a Python worker at once; whole texts may be long, so few of them.
+BATCH_ROWS = 1000
+
+
+def map_batches(rows: DataFrame, run, schema: str) -> DataFrame:
+    """mapInArrow with batches of BATCH_ROWS rows, which bounds what a worker holds."""
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return rows.mapInArrow(run, schema)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` over `value`, which is computed once however often `body` names it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import map_batches, table, written
 
 SUPPORT = 0.5
 LEAST_TOKENS = 3
@@ -176,7 +176,7 @@ def occurrences(pages: DataFrame) -> DataFrame:
                 found = {}
         yield drain(found)
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, STATS)
+    return map_batches(pages.select("page_id", "url", "html"), run, STATS)
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -237,7 +237,7 @@ def extract(pages: DataFrame) -> DataFrame:
             out = [main_text(p.as_py(), body.as_py(), frozenset(t.as_py() or ())) for p, body, t in zip(b.column(2), b.column(3), b.column(4))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return rows.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+    return map_batches(rows, run, f"page_id {kind}, url string, text string, n_chars long")
 
 
 def op6_equivalence_classes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,8 @@ loss; a text is ambiguous if the next codeword is nearly as near.
 With up to six languages the code is exhaustive (every split of the languages); with more it is
 the random code of the largest least distance among seeded tries.
 
-The classifiers are fitted on at most about MAX_ROWS rows of each language, chosen by a hash of
-the id; scoring covers whole texts of all rows.
+The classifiers are fitted on about MAX_ROWS rows at most, as many of each language as there are
+up to an equal share, chosen by a hash of the id; scoring covers whole texts of all rows.
 
 Defined results: a null text, or one without a letter, is `und` with score 0; without training
 rows every text is `und`; with one language every text with a letter is of that language; a null
@@ -28,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc32_of, table
+from .common import crc32_of, map_batches, table
 
 BITS = 16
 ORDERS = (2, 3, 4)
-MAX_ROWS = 1500
+MAX_ROWS = 5000
 SMOOTHING = 0.5
 UNKNOWN = "und"
 #: Less than this between the two nearest codewords (mean loss of a bit) is ambiguous.
@@ -160,7 +160,8 @@ def training_rows(docs: DataFrame, most: int = MAX_ROWS) -> list[tuple[str, str]
     if not counts:
         return []
     part = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(12)), F.lit(1_000_000))
-    share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(int(min(1.0, most / n) * 1_000_000)))])
+    each = max(1, most // len(counts))
+    share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(int(min(1.0, each / n) * 1_000_000)))])
     rows = marked.where(part < F.element_at(share, F.col("lang"))).select("doc_id", "text", "lang").toPandas()
     rows = rows.sort_values(["doc_id", "lang"], kind="stable")
     return list(zip(rows["text"], rows["lang"]))
@@ -181,7 +182,7 @@ def identify(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> Data
             new = [b.column("_id"), pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64()), pa.array([x[2] for x in out], pa.bool_())]
             yield pa.RecordBatch.from_arrays([b.column(f.name) for f in kept] + new, names=[f.name for f in kept] + ["_id", "lang_pred", "lang_score", "ambiguous"])
 
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)
 
 
 def op5_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import map_batches, table
 
 # Fixed values of the format: element ids.
 EBML, DOC_TYPE, DOC_TYPE_VERSION, DOC_TYPE_READ = 0x1A45DFA3, 0x4282, 0x4287, 0x4285
@@ -258,7 +258,7 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 made = [(n, mux(p)) for n, p in (payload_of(t.as_py()) for t in part.column(1))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([n for n, _ in made], pa.int64()), pa.array([m for _, m in made], pa.binary())], names=["doc_id", "n_bytes", "media"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return map_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, "doc_id long, n_bytes long, media binary")
 
 
 PACKETS = "doc_id long, track int, cluster int, block int, lacing int, timestamp_ms double, byte_start long, byte_size long"
@@ -276,7 +276,7 @@ def packet_table(stored: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    return stored.select("doc_id", "media").mapInArrow(run, PACKETS)
+    return map_batches(stored.select("doc_id", "media"), run, PACKETS)
 
 
 DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
@@ -297,7 +297,7 @@ def digest(stored: DataFrame) -> DataFrame:
             names = [x.split()[0] for x in DIGEST.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
 
-    return stored.select("doc_id", "n_bytes", "media").mapInArrow(run, DIGEST)
+    return map_batches(stored.select("doc_id", "n_bytes", "media"), run, DIGEST)
 
 
 def op4_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:

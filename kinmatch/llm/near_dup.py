@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import map_batches, table, written
 from .components import components
 
 SHINGLE = 3
@@ -84,7 +84,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), fp], names=["doc_id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return map_batches(rows, run, "doc_id long, fp long")
 
 
 def _apart(a: Column, b: Column) -> Column:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import map_batches, table, written
 
 LENGTH = 2048
 OPEN = 64
@@ -86,7 +86,7 @@ def pieces(docs: DataFrame, path: str, ranks: str | None, length: int = LENGTH,
                         col.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
+    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, PIECES)
 
 
 def best_fit(lengths: list[int], length: int = LENGTH, most_open: int = OPEN) -> tuple[list[int], list[int], list[int]]:

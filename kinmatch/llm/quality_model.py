@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc32_of, table
+from .common import crc32_of, map_batches, table
 
 BITS = 18
 EPOCHS = 4
@@ -114,7 +114,7 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, bits: int = BITS, i
                 out[k] = 1.0 / (1.0 + np.exp(-np.clip(w[index] @ value + b, -35, 35)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], names=["doc_id", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
+    return map_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, "doc_id long, score double")
 
 
 def op1_hashed_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
