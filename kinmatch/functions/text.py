@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .. import schema as S
 
@@ -40,10 +41,12 @@ def country_norm(c: Column) -> Column:
     return F.lower(F.trim(c))
 
 
-@F.pandas_udf("string")
-def _nfkc(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in parts:
-        yield s.fillna("").str.normalize("NFKC")
+def _nfkc(c: Column) -> Column:
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in parts:
+            yield s.fillna("").str.normalize("NFKC")
+
+    return F.pandas_udf(run, StringType())(c)
 
 
 def unicode_base(c: Column) -> Column:
