@@ -24,7 +24,7 @@ RULES: list[tuple[str, str]] = [
     ("few_words", "n_words < 10"),
     ("repeated_windows", "100 * n_repeat_words > 20 * n_words"),
     ("symbols_per_word", "100 * n_symbols > 20 * n_words"),
-    ("repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
+    ("repeated_lines", "n_dup_lines >= 3 and 100 * n_dup_lines > 30 * n_lines"),
     ("short_words", "10 * word_chars < 20 * n_words"),
     ("long_words", "10 * word_chars > 200 * n_words"),
     ("shouting", "n_upper > 200 and 100 * n_upper > 50 * word_chars"),
@@ -136,7 +136,7 @@ def op2_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_CONDITIONS = ["n_words < 10", "100 * n_repeat_words > 20 * n_words", "100 * n_symbols > 20 * n_words", "100 * n_dup_lines > 30 * n_lines", "10 * word_chars < 20 * n_words", "10 * word_chars > 200 * n_words", "n_upper > 200 and 100 * n_upper > 50 * word_chars"]
+_CONDITIONS = ["n_words < 10", "100 * n_repeat_words > 20 * n_words", "100 * n_symbols > 20 * n_words", "n_dup_lines >= 3 and 100 * n_dup_lines > 30 * n_lines", "10 * word_chars < 20 * n_words", "10 * word_chars > 200 * n_words", "n_upper > 200 and 100 * n_upper > 50 * word_chars"]
 
 OP2_SQL = f"""
 with w as (
