@@ -123,8 +123,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = named.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "_root")
     linked = named.join(least, F.col("root") == F.col("_root")).select("node", "component_id")
     classes = fps.join(linked, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("_fp"), F.coalesce("component_id", "least").alias("component_id"))
-    # a fingerprint may hold a third of the rows: AQE splits that side of this join
-    return rows.join(classes, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
+    # A fingerprint may hold a third of the rows. Both sides of this join are plain scans, so
+    # AQE can split the rows of such a fingerprint over many tasks.
+    return rows.join(written(classes, "classes"), F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
