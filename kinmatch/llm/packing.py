@@ -34,7 +34,7 @@ OPEN = 64
 END_ID = 1
 #: Rows of documents for each partition of the first step, and partitions for each of the second.
 ROWS = 750
-MERGE = 64
+MERGE = 8
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Characters on which both forms of the vocabulary split alike.
