@@ -30,7 +30,7 @@ from .common import crc32_of, map_batches, table
 BITS = 18
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
-MAX_ROWS = 10_000
+MAX_ROWS = 8_000
 THRESHOLD = 0.3
 
 _TOKEN = re.compile(rb"[0-9A-Za-z_\x80-\xff]+|[^\s0-9A-Za-z_\x80-\xff]+")
@@ -59,7 +59,7 @@ def train(rows: list[tuple[str | None, int]], bits: int = BITS, epochs: int = EP
     n = 1 << bits
     z, g2 = np.zeros(n), np.zeros(n)
     bz = bn = 0.0
-    data = [(*features(t, bits), y) for t, y in rows]
+    data = [(i.astype(np.int32), v.astype(np.float32), y) for (i, v), y in ((features(t, bits), y) for t, y in rows)]
     order = np.random.default_rng(1)
 
     def weight(zi: np.ndarray, ni: np.ndarray) -> np.ndarray:
