@@ -11,44 +11,37 @@ from .. import schema as S
 from ..functions import text as X
 from . import blocking, features
 
-OLD_FLAGS = ("r_name_exact", "r_addr_exact", "r_name_global", "r_addr_global", "r_combo", "r_combo_g", "r_rare_name", "r_second_word", "r_addr_word", "r_rule_4a", "r_rule_1b")
-
-
-def flags() -> dict[str, Column]:
-    """Rules as predicates on a hydrated pair, without caps; null where a country is null."""
-    an, bn, aa, ba = (F.col(c) for c in ("an", "bn", "aa", "ba"))
-    same = F.col("ac") == F.col("bc")
-    eq = lambda f, *xy: f(xy[0]) == f(xy[1])
-    run5, run4 = (lambda c: F.regexp_extract(c, "[a-z]{5,}", 0)), (lambda c: F.regexp_extract(c, "[a-z]{4,}", 0))
-    second = lambda c: F.regexp_extract(c, "^[^ ]+ ([a-z]{4,})", 1)
-    fold = lambda c: F.substring(F.replace(c, F.lit(" "), F.lit("")), 1, 4)
-    number = (X.first_number(aa) != "") & eq(X.first_number, aa, ba)
-    long4 = (F.length(an) >= 4) & (F.length(aa) >= 4)
-    return {
-        "r_name_exact": same & (an != "") & (an == bn),
-        "r_addr_exact": same & (aa != "") & (aa == ba),
-        "r_name_global": (an != "") & (an == bn),
-        "r_addr_global": (aa != "") & (aa == ba),
-        "r_combo": same & (F.length(an) >= 3) & (F.length(aa) >= 4) & eq(lambda c: X.first_word(c, 3), an, bn) & eq(lambda c: X.first_word(c, 4), aa, ba),
-        "r_combo_g": long4 & eq(lambda c: X.first_word(c, 4), an, bn) & eq(lambda c: X.first_word(c, 4), aa, ba),
-        "r_rare_name": same & (run5(an) != "") & eq(run5, an, bn),
-        "r_second_word": same & ~second(an).isin(*S.SECOND_WORD_STOPS) & eq(second, an, bn),
-        "r_addr_word": same & (run4(aa) != "") & eq(run4, aa, ba),
-        "r_rule_4a": same & number & eq(fold, an, bn),
-        "r_rule_1b": same & (bn == "") & (aa != "") & (ba != "") & number,
-    }
+#: Rules that are judged by their keys alone, whatever their frequencies.
+BY_KEY = tuple(r.id for r in S.RULES if r.evidence)
+OLD_FLAGS = (*[f"hit_{r.lower()}" for r in BY_KEY], "hit_fold_number", "hit_nameless_number")
+NEW_FLAGS = ("hit_b15", "hit_b16")
 
 
 def flagged(truth: DataFrame, s1: DataFrame, target: DataFrame, settings: S.Settings = S.DEFAULT) -> DataFrame:
-    """True pairs with their countries, the old flags, and r_9a and r_9b (with caps)."""
-    rows = features.hydrated(truth, s1, target).select(*S.PAIR, "an", "bn", "aa", "ba", "ac", "bc")
-    rows = rows.select(*S.PAIR, F.col("ac").alias("country"), *[F.coalesce(c, F.lit(False)).alias(k) for k, c in flags().items()])
-    only = S.Settings(rules=("B15", "B16"), pair_tokens=settings.pair_tokens)
-    new = blocking.rule_pairs(blocking.keyed(s1, only), blocking.keyed(target, only))
-    for rule, name in (("B15", "r_9a"), ("B16", "r_9b")):
-        hits = new.where(F.col("rule") == rule).select(*S.PAIR).distinct().withColumn(name, F.lit(True))
-        rows = rows.join(hits, list(S.PAIR), "left").withColumn(name, F.coalesce(name, F.lit(False)))
-    return rows
+    """True pairs with their country and a flag for each way in which they could be found.
+
+    The ranked rules need a shared key that counts on the left; the two number flags compare
+    the first address numbers of a pair; hit_b15 and hit_b16 obey the caps, as blocking does."""
+    by_key = S.Settings(rules=BY_KEY)
+    left = blocking.keyed(s1, by_key).where("counted").select(F.col("entity_id").alias(S.PAIR[0]), "rule", "key")
+    right = blocking.keyed(target, by_key).select(F.col("entity_id").alias(S.PAIR[1]), "rule", "key")
+    shared = truth.distinct().join(left, S.PAIR[0]).join(right, [S.PAIR[1], "rule", "key"])
+    found = shared.groupBy(*S.PAIR).agg(F.collect_set("rule").alias("rules"))
+
+    capped = S.Settings(rules=("B15", "B16"), pair_tokens=settings.pair_tokens)
+    pairs = blocking.rule_pairs(blocking.keyed(s1, capped), blocking.keyed(target, capped))
+    later = pairs.join(truth.distinct(), list(S.PAIR), "left_semi").groupBy(*S.PAIR).agg(F.collect_set("rule").alias("later"))
+
+    one, two = X.first_number(F.col("aa")), X.first_number(F.col("ba"))
+    fold = lambda c: F.substring(F.replace(F.col(c), F.lit(" "), F.lit("")), 1, 4)
+    number = (F.col("ac") == F.col("bc")) & (one != "") & (one == two)
+    rows = features.hydrated(truth, s1, target).select(
+        *S.PAIR, F.col("ac").alias("country"), (number & (fold("an") == fold("bn"))).alias("hit_fold_number"), (number & (F.col("bn") == "")).alias("hit_nameless_number")
+    )
+    rows = rows.join(found, list(S.PAIR), "left").join(later, list(S.PAIR), "left")
+    has = lambda c, rule: F.coalesce(F.array_contains(c, rule), F.lit(False)).alias(f"hit_{rule.lower()}")
+    numbers = [F.coalesce(c, F.lit(False)).alias(c) for c in OLD_FLAGS[-2:]]
+    return rows.select(*S.PAIR, "country", *[has("rules", r) for r in BY_KEY], *numbers, *[has("later", r) for r in capped.rules])
 
 
 def any_of(names) -> Column:
@@ -56,7 +49,7 @@ def any_of(names) -> Column:
 
 
 def recall_by_country(rows: DataFrame) -> DataFrame:
-    old, new = any_of(OLD_FLAGS), any_of((*OLD_FLAGS, "r_9a", "r_9b"))
+    old, new = any_of(OLD_FLAGS), any_of((*OLD_FLAGS, *NEW_FLAGS))
     pct = lambda c: F.round(F.count_if(c) * 100.0 / F.count(F.lit(1)), 4)
     return rows.groupBy("country").agg(
         F.count(F.lit(1)).alias("total_pairs"), F.count_if(old).alias("before_pairs"), pct(old).alias("before_pct"), F.count_if(new).alias("after_pairs"), pct(new).alias("after_pct")
@@ -64,11 +57,11 @@ def recall_by_country(rows: DataFrame) -> DataFrame:
 
 
 def missed(rows: DataFrame) -> DataFrame:
-    return rows.where(~any_of((*OLD_FLAGS, "r_9a", "r_9b")))
+    return rows.where(~any_of((*OLD_FLAGS, *NEW_FLAGS)))
 
 
 def attribution(rows: DataFrame) -> DataFrame:
-    which = F.when(F.col("r_9a") & F.col("r_9b"), "both").when(F.col("r_9a"), "9a").when(F.col("r_9b"), "9b").otherwise("none")
+    which = F.when(F.col("hit_b15") & F.col("hit_b16"), "both").when(F.col("hit_b15"), "B15").when(F.col("hit_b16"), "B16").otherwise("none")
     return rows.select(*S.PAIR, which.alias("rules"))
 
 

@@ -138,7 +138,7 @@ query(
 query("u06_unnest", q("select entity_id, unnest(string_split(address_norm, ' ')) as token from nrm"))(lambda f: X.normalised(f.entities).select("entity_id", F.explode(F.split("address_norm", " ")).alias("token")))
 query("u07_cte_chain", q("select c.country_norm, c.n, c.n * 100 // t.n as pct from c, t", "c as (select country_norm, count(*) as n from nrm group by 1)", "t as (select sum(n)::bigint as n from c)"))(
     lambda f: f.spark.sql(
-        "with c as (select country_norm, count(*) as n from {e} group by 1), t as (select sum(n) as n from c) select c.country_norm, c.n, c.n * 100 div t.n as pct from c cross join t", e=X.normalised(f.entities)
+        "with c as (select country_norm, count(*) as n from {e} group by 1), t as (select sum(n) as n from c) select country_norm, n, n * 100 div (select n from t) as pct from c", e=X.normalised(f.entities)
     )
 )
 

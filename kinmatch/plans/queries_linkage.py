@@ -115,44 +115,43 @@ def _precomputed(f):
     return blocking.best(blocking.evidence(pairs), 40).select(*S.PAIR).union(pairs.where(~F.col("rule").isin(*ranked)).select(*S.PAIR)).distinct()
 
 
-_FLAGS = """flags as (
-  select t.source1_entity_id, t.candidate_entity_id, a.country_norm as country,
-         coalesce(a.country_norm = b.country_norm and a.name_norm <> '' and a.name_norm = b.name_norm, false) as r_name_exact,
-         coalesce(a.country_norm = b.country_norm and a.address_norm <> '' and a.address_norm = b.address_norm, false) as r_addr_exact,
-         a.name_norm <> '' and a.name_norm = b.name_norm as r_name_global, a.address_norm <> '' and a.address_norm = b.address_norm as r_addr_global,
-         coalesce(a.country_norm = b.country_norm and length(a.name_norm) >= 3 and length(a.address_norm) >= 4 and left(split_part(a.name_norm, ' ', 1), 3) = left(split_part(b.name_norm, ' ', 1), 3) and left(split_part(a.address_norm, ' ', 1), 4) = left(split_part(b.address_norm, ' ', 1), 4), false) as r_combo,
-         length(a.name_norm) >= 4 and length(a.address_norm) >= 4 and left(split_part(a.name_norm, ' ', 1), 4) = left(split_part(b.name_norm, ' ', 1), 4) and left(split_part(a.address_norm, ' ', 1), 4) = left(split_part(b.address_norm, ' ', 1), 4) as r_combo_g,
-         coalesce(a.country_norm = b.country_norm and regexp_extract(a.name_norm, '[a-z]{5,}', 0) <> '' and regexp_extract(a.name_norm, '[a-z]{5,}', 0) = regexp_extract(b.name_norm, '[a-z]{5,}', 0), false) as r_rare_name,
-         coalesce(a.country_norm = b.country_norm and regexp_extract(a.name_norm, '^[^ ]+ ([a-z]{4,})', 1) not in STOPS and regexp_extract(a.name_norm, '^[^ ]+ ([a-z]{4,})', 1) = regexp_extract(b.name_norm, '^[^ ]+ ([a-z]{4,})', 1), false) as r_second_word,
-         coalesce(a.country_norm = b.country_norm and regexp_extract(a.address_norm, '[a-z]{4,}', 0) <> '' and regexp_extract(a.address_norm, '[a-z]{4,}', 0) = regexp_extract(b.address_norm, '[a-z]{4,}', 0), false) as r_addr_word,
-         coalesce(a.country_norm = b.country_norm and ltrim(regexp_extract(a.address_norm, '([0-9]{1,6})', 1), '0') <> '' and ltrim(regexp_extract(a.address_norm, '([0-9]{1,6})', 1), '0') = ltrim(regexp_extract(b.address_norm, '([0-9]{1,6})', 1), '0') and left(replace(a.name_norm, ' ', ''), 4) = left(replace(b.name_norm, ' ', ''), 4), false) as r_rule_4a,
-         coalesce(a.country_norm = b.country_norm and b.name_norm = '' and a.address_norm <> '' and b.address_norm <> '' and ltrim(regexp_extract(a.address_norm, '([0-9]{1,6})', 1), '0') <> '' and ltrim(regexp_extract(a.address_norm, '([0-9]{1,6})', 1), '0') = ltrim(regexp_extract(b.address_norm, '([0-9]{1,6})', 1), '0'), false) as r_rule_1b,
-         x.e is not null as r_9a, y.e is not null as r_9b
-  from truth t join s1 a on a.entity_id = t.source1_entity_id join target b on b.entity_id = t.candidate_entity_id
-  left join (select distinct *, 1 as e from b15_pairs) x using (source1_entity_id, candidate_entity_id)
-  left join (select distinct *, 1 as e from b16_pairs) y using (source1_entity_id, candidate_entity_id)),
-any_flag as (select *, r_name_exact or r_addr_exact or r_name_global or r_addr_global or r_combo or r_combo_g or r_rare_name or r_second_word or r_addr_word or r_rule_4a or r_rule_1b as old from flags)""".replace(
-    "STOPS", "(" + ", ".join(f"'{w}'" for w in S.SECOND_WORD_STOPS) + ")"
-)
-_flag_ctes = (rule_ctes(S.RULES[-2]), rule_ctes(S.RULES[-1]), _FLAGS)
+_KEYED = [r for r in S.RULES if r.evidence]
+_TRUE = "select source1_entity_id, candidate_entity_id from truth"
+_HITS = ",\n".join(
+    [f"h_{r.id.lower()} as (select distinct t.* from ({_TRUE}) t join {r.id.lower()}_l a on a.entity_id = t.source1_entity_id and a.c join {r.id.lower()}_r b on b.entity_id = t.candidate_entity_id and b.k = a.k)" for r in _KEYED]
+    + [f"h_{x} as (select distinct * from {x}_pairs)" for x in ("b15", "b16")]
+)
+_NUMBER = "ltrim(regexp_extract({}.address_norm, '([0-9]{{1,6}})', 1), '0')"
+_FLAGS = (
+    "flags as (select t.source1_entity_id, t.candidate_entity_id, a.country_norm as country, "
+    + ", ".join(f"h_{x}.source1_entity_id is not null as hit_{x}" for x in [*[r.id.lower() for r in _KEYED], "b15", "b16"])
+    + ", coalesce(n.same and left(replace(a.name_norm, ' ', ''), 4) = left(replace(b.name_norm, ' ', ''), 4), false) as hit_fold_number, coalesce(n.same and b.name_norm = '', false) as hit_nameless_number"
+    + " from truth t join s1 a on a.entity_id = t.source1_entity_id join target b on b.entity_id = t.candidate_entity_id, "
+    + f"lateral (select a.country_norm = b.country_norm and {_NUMBER.format('a')} <> '' and {_NUMBER.format('a')} = {_NUMBER.format('b')} as same) n "
+    + " ".join(f"left join h_{x} on h_{x}.source1_entity_id = t.source1_entity_id and h_{x}.candidate_entity_id = t.candidate_entity_id" for x in [*[r.id.lower() for r in _KEYED], "b15", "b16"])
+    + "),\nany_flag as (select *, "
+    + " or ".join(diagnostics.OLD_FLAGS)
+    + " as old from flags)"
+)
+_flag_ctes = (*[rule_ctes(r) for r in [*_KEYED, S.RULES[-2], S.RULES[-1]]], _HITS, _FLAGS)
 
 
 def _flagged(f):
     return diagnostics.flagged(f.truth, f.s1, f.target)
 
 
-_ALL = ", ".join((*diagnostics.OLD_FLAGS, "r_9a", "r_9b"))
+_ALL = ", ".join((*diagnostics.OLD_FLAGS, *diagnostics.NEW_FLAGS))
 query("b21_rule_flags", q(f"select {PAIRS}, country, {_ALL} from flags", *_flag_ctes))(_flagged)
 query(
     "a07_recall_by_country",
     q(
-        "select country, count(*) as total_pairs, count(*) filter (old) as before_pairs, round(count(*) filter (old) * 100.0 / count(*), 4)::double as before_pct, count(*) filter (old or r_9a or r_9b) as after_pairs, round(count(*) filter (old or r_9a or r_9b) * 100.0 / count(*), 4)::double as after_pct from any_flag group by 1",
+        "select country, count(*) as total_pairs, count(*) filter (old) as before_pairs, round(count(*) filter (old) * 100.0 / count(*), 4)::double as before_pct, count(*) filter (old or hit_b15 or hit_b16) as after_pairs, round(count(*) filter (old or hit_b15 or hit_b16) * 100.0 / count(*), 4)::double as after_pct from any_flag group by 1",
         *_flag_ctes,
     ),
 )(lambda f: diagnostics.recall_by_country(_flagged(f)))
-query("b22_missed_pairs", q(f"select {PAIRS} from any_flag where not (old or r_9a or r_9b)", *_flag_ctes))(lambda f: diagnostics.missed(_flagged(f)).select(*S.PAIR))
+query("b22_missed_pairs", q(f"select {PAIRS} from any_flag where not (old or hit_b15 or hit_b16)", *_flag_ctes))(lambda f: diagnostics.missed(_flagged(f)).select(*S.PAIR))
 query("w09_flag_disjunction", q(f"select {PAIRS} from any_flag where old", *_flag_ctes))(lambda f: _flagged(f).where(diagnostics.any_of(diagnostics.OLD_FLAGS)).select(*S.PAIR))
-query("b23_rule_attribution", q(f"select {PAIRS}, case when r_9a and r_9b then 'both' when r_9a then '9a' when r_9b then '9b' else 'none' end as rules from flags", *_flag_ctes))(lambda f: diagnostics.attribution(_flagged(f)))
+query("b23_rule_attribution", q(f"select {PAIRS}, case when hit_b15 and hit_b16 then 'both' when hit_b15 then 'B15' when hit_b16 then 'B16' else 'none' end as rules from flags", *_flag_ctes))(lambda f: diagnostics.attribution(_flagged(f)))
 query("a12_blocking_recall", over("labelled", "select sum(label)::bigint as hits, (select count(*) from truth) as truth, round(sum(label)::double / (select count(*) from truth), 6) as recall from labelled"))(
     lambda f: f.labelled.agg(F.sum("label").alias("hits")).join(f.truth.agg(F.count(F.lit(1)).alias("truth"))).select("hits", "truth", F.round(F.col("hits") / F.col("truth"), 6).alias("recall"))
 )
