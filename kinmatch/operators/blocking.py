@@ -96,8 +96,17 @@ def best(scored: DataFrame, top: int, score: str = "evidence") -> DataFrame:
     return scored.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= top)
 
 
+def chosen(pairs: DataFrame, top: int) -> DataFrame:
+    """Distinct pairs of rule_pairs rows: the best of the ranked rules, and all of the others.
+
+    One aggregate tells both kinds of rules apart, so the pair join runs once."""
+    rule = F.col("rule")
+    ranked = rule.isin(*[r.id for r in S.RULES if r.evidence])
+    per_pair = pairs.groupBy(*S.PAIR).agg(F.sum(F.when(ranked, _evidence())).alias("evidence"), F.bool_or(~ranked).alias("extra"))
+    w = Window.partitionBy("source1_entity_id").orderBy(F.col("evidence").desc_nulls_last(), "candidate_entity_id")
+    kept = F.col("extra") | (F.col("evidence").isNotNull() & (F.col("rn") <= top))
+    return per_pair.withColumn("rn", F.row_number().over(w)).where(kept).select(*S.PAIR)
+
+
 def candidates(s1: DataFrame, target: DataFrame, settings: S.Settings = S.DEFAULT) -> DataFrame:
-    """Distinct pairs: the best of the ranked rules, and all of the others."""
-    pairs = rule_pairs(keyed(s1, settings), keyed(target, settings))
-    extra = pairs.where(~F.col("rule").isin(*[r.id for r in S.RULES if r.evidence])).select(*S.PAIR)
-    return best(evidence(pairs), settings.top).select(*S.PAIR).union(extra).distinct()
+    return chosen(rule_pairs(keyed(s1, settings), keyed(target, settings)), settings.top)

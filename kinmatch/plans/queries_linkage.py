@@ -110,9 +110,7 @@ def _precomputed(f):
         path = folder(f.spark, f"keys-{name}")
         blocking.keyed(df).write.parquet(path)
         sides.append(f.spark.read.parquet(path))
-    pairs = blocking.rule_pairs(*sides)
-    ranked = [r.id for r in S.RULES if r.evidence]
-    return blocking.best(blocking.evidence(pairs), 40).select(*S.PAIR).union(pairs.where(~F.col("rule").isin(*ranked)).select(*S.PAIR)).distinct()
+    return blocking.chosen(blocking.rule_pairs(*sides), f.settings.top)
 
 
 _KEYED = [r for r in S.RULES if r.evidence]
