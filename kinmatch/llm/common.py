@@ -68,14 +68,19 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
 
 
-def ranked_within(rows: DataFrame, group: list[str], bins: list[str], order: list[Column], rank: str, total: str = "_total") -> DataFrame:
+def ranked_within(rows: DataFrame, group: list[str], bins: list[str], order: list[Column], rank: str, total: str = "_total", facts: DataFrame | None = None) -> DataFrame:
     """Adds `rank` (from 1) of each row in its `group`, sorted by `bins` and then by `order`,
-    and the number of the group's rows as `total`.
+    the number of the group's rows as `total`, and the columns of `facts`, a row per group.
 
     No task holds a whole group: rows meet only within one (group, bins), a count of each
-    such cell is summed over the cells before it, and the rank in the cell is added. Rows
-    are shuffled once, since the join and the window need the same partitioning. Nulls in
-    `group` form a group of their own."""
+    such cell is summed over the cells before it, and the rank in the cell is added. Nulls in
+    `group` form a group of their own; `bins` aren't null. The keys that are joined on are
+    those of the window, and never null, so that rows are shuffled once for both."""
+    key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    rows = rows.select("*", *[key(c).alias(f"_g_{c}") for c in group])
+    if facts is not None:
+        facts = facts.select(*[key(c).alias(f"_f__g_{c}") for c in group], *[c for c in facts.columns if c not in group])
+    group = [f"_g_{c}" for c in group]
     keys = group + bins
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_in_cell"))
     before = Window.partitionBy(*group).orderBy(*bins).rowsBetween(Window.unboundedPreceding, -1)
@@ -84,12 +89,13 @@ def ranked_within(rows: DataFrame, group: list[str], bins: list[str], order: lis
         F.coalesce(F.sum("_in_cell").over(before), F.lit(0)).alias("_before"),
         F.sum("_in_cell").over(Window.partitionBy(*group)).alias(total),
     )
-    on = [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in keys]
+    if facts is not None:  # joined to the cells, which are few, not to the rows
+        cells = cells.join(facts, [F.col(f"_c_{g}") == F.col(f"_f_{g}") for g in group]).drop(*[f"_f_{g}" for g in group])
     here = Window.partitionBy(*keys).orderBy(*order)
     return (
-        rows.join(cells, on, "inner")
+        rows.join(cells, [F.col(k) == F.col(f"_c_{k}") for k in keys], "inner")
         .withColumn(rank, F.col("_before") + F.row_number().over(here))
-        .drop("_before", *[f"_c_{k}" for k in keys])
+        .drop("_before", *group, *[f"_c_{k}" for k in keys])
     )
 
 

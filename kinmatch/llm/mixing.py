@@ -56,17 +56,16 @@ def copies(sizes: DataFrame, goals: DataFrame, seed: str = SEED) -> DataFrame:
     step = length * 16 + F.expr("shiftright(size, greatest(length(bin(size)) - 4, 0))").cast("int")
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     rows = sizes.withColumn("_step", step).withColumn("_h", h).withColumn("_bin", F.substring("_h", 1, 2))
-    ranked = ranked_within(rows, ["source"], ["_step", "_bin"], [F.col("_h"), F.col("doc_id"), F.col("size")], "_rank")
-    per = goals.select(
-        F.col("source").alias("_source"),
+    facts = goals.select(
+        "source",
         "source_size",
         "target",
         F.when(F.col("source_size") == 0, F.lit(0.0)).otherwise(F.col("target") / F.col("source_size")).alias("_e"),
         (F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}/"), F.coalesce("source", F.lit(""))).cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)).alias("_u"),
     )
+    ranked = ranked_within(rows, ["source"], ["_step", "_bin"], [F.col("_h"), F.col("doc_id"), F.col("size")], "_rank", facts=facts)
     upto = lambda r: F.floor(r * F.col("_e") + F.col("_u"))
-    joined = ranked.join(per, F.col("source").eqNullSafe(F.col("_source")), "inner")
-    return joined.withColumn("copies", (upto(F.col("_rank")) - upto(F.col("_rank") - 1)).cast("long")).drop("_step", "_h", "_bin", "_rank", "_total", "_source", "_e", "_u")
+    return ranked.withColumn("copies", (upto(F.col("_rank")) - upto(F.col("_rank") - 1)).cast("long")).drop("_step", "_h", "_bin", "_rank", "_total", "_e", "_u")
 
 
 def mix(docs: DataFrame, size: Column | None = None, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -80,9 +79,9 @@ def mix(docs: DataFrame, size: Column | None = None, weights: tuple[float, ...]
 
 def sample(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = SEED) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it, with their own columns."""
-    rows = docs.withColumn("size", word_count(F.col("text")))
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.struct("*").alias("_row"))
     drawn = copies(rows, targets(rows.select("source", "size"), weights, share, most), seed).where("copies > 0")
-    return drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    return drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
 
 
 def op8_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -136,8 +136,9 @@ def test_mix_of_odd_tables(spark):
     got = mixing.mix(docs(spark, [(1, None, "a"), (2, "", "a"), (None, "x y", None), (None, "x y", None)])).collect()
     assert {(r.doc_id, r.size, r.target) for r in got if r.source == "a"} == {(1, 0, 0.0), (2, 0, 0.0)}
     assert sum(r.copies for r in got if r.source is None) == 3
-    drawn = mixing.sample(docs(spark, [(k, "x y z", "a") for k in range(10)]).withColumn("target", F.lit("clash")).drop("target"))
-    assert drawn.count() == 15 and drawn.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    clash = docs(spark, [(k, "x y z", "a") for k in range(10)]).withColumns({c: F.lit(c) for c in ("size", "target", "copies", "_h")})
+    drawn = mixing.sample(clash)
+    assert drawn.count() == 15 and drawn.columns == clash.columns and drawn.where("size <> 'size' or copies <> 'copies'").count() == 0
 
 
 TURNS = "conv_id long, turn long, role string, text string"
