@@ -15,8 +15,8 @@ from .sql import ADDRESS_PAIR_STOPS_SQL, HYDRATED, all_rules, over, q, rule_ctes
 PAIRS = "source1_entity_id, candidate_entity_id"
 
 
-def _only(f, *rules):
-    s = replace(S.DEFAULT, rules=tuple(rules))
+def _only(f, *rules, **settings):
+    s = replace(S.DEFAULT, rules=tuple(rules), **settings)
     return blocking.rule_pairs(blocking.keyed(f.s1, s), blocking.keyed(f.target, s)).select(*S.PAIR)
 
 
@@ -97,6 +97,8 @@ query("u02_union_of_rules", over("candidates", "select rule, count(*) as n from
 query("b17_candidates", over("candidates", f"select {PAIRS} from candidates"))(lambda f: f.candidates)
 _13 = tuple(r.id for r in S.RULES if r.id not in ("B15", "B16"))
 query("b18_thirteen_rules", q(f"select {PAIRS} from candidates", all_rules(_13)))(lambda f: blocking.candidates(f.s1, f.target, replace(S.DEFAULT, rules=_13)))
+_B16 = S.RULES[-1]
+query("b16_unbounded_token_pairs", q(f"select {PAIRS} from b16_pairs", rule_ctes(_B16).replace(" where a.rn <= 5 and b.rn <= 5", "")))(lambda f: _only(f, "B16", pair_tokens=None))
 query("b19_bounded_token_pairs", q(f"select distinct {PAIRS} from b16_pairs", rule_ctes(next(r for r in S.RULES if r.id == "B16"))))(lambda f: _only(f, "B16").distinct())
 
 
