@@ -12,19 +12,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.similarity import FEATURES
+from ..workspace import folder
 from . import evaluate, labeling
 
 TREES = 350
 
 
-def positive_weight(rows: DataFrame) -> float:
-    """max(1, negatives / positives)."""
+#: Rows in a partition while trees are fitted: a level of a tree is a job, which few rows in many tasks only slow down.
+ROWS = 20_000
+
+
+def balance(rows: DataFrame) -> tuple[float, int]:
+    """max(1, negatives / positives), and the partitions that the rows need."""
     n = rows.agg(F.count_if(F.col("label") == 0).alias("neg"), F.count_if(F.col("label") == 1).alias("pos")).first()
-    return max(1.0, n["neg"] / max(1, n["pos"]))
+    return max(1.0, n["neg"] / max(1, n["pos"])), 1 + (n["neg"] + n["pos"]) // ROWS
+
+
+def positive_weight(rows: DataFrame) -> float:
+    return balance(rows)[0]
 
 
 def fit(rows: DataFrame, trees: int = TREES, depth: int = 7, seed: int = 42) -> PipelineModel:
-    weighted = rows.withColumn("w", F.when(F.col("label") == 1, F.lit(positive_weight(rows))).otherwise(F.lit(1.0)))
+    context = rows.sparkSession.sparkContext
+    if not context.getCheckpointDir():  # else the lineage grows with every tree
+        context.setCheckpointDir(folder(rows.sparkSession, "trees"))
+    weight, partitions = balance(rows)
+    weighted = rows.withColumn("w", F.when(F.col("label") == 1, F.lit(weight)).otherwise(F.lit(1.0))).repartition(partitions)
     gbt = GBTClassifier(labelCol="label", weightCol="w", maxIter=trees, maxDepth=depth, stepSize=0.05, subsamplingRate=0.85, featureSubsetStrategy="0.9", minInstancesPerNode=2, seed=seed)
     return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), gbt]).fit(weighted)
 

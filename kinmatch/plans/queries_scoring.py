@@ -50,6 +50,7 @@ _NEG = "select {p}, label from (select *, row_number() over (partition by source
 query("t03_balanced_candidates", over("labelled", _NEG.format(p=PAIRS, o="candidate_entity_id", n=3)))(lambda f: labeling.first_negatives(f.labelled, 3).select(*S.PAIR, "label"))
 query("n03_negative_sampling", over("labelled", _NEG.format(p=PAIRS, o="md5(candidate_entity_id)", n=15)))(lambda f: labeling.with_negatives(f.labelled, 15).select(*S.PAIR, "label"))
 query("n03_validation_sampling", over("labelled", _NEG.format(p=PAIRS, o="md5(candidate_entity_id)", n=2)))(lambda f: labeling.with_negatives(f.labelled, 2).select(*S.PAIR, "label"))
+query("n03_validation_25", over("labelled", _NEG.format(p=PAIRS, o="md5(candidate_entity_id)", n=25)))(lambda f: labeling.with_negatives(f.labelled, S.DEFAULT.valid_negatives).select(*S.PAIR, "label"))
 query("n08_first_negatives", over("labelled", _NEG.format(p=PAIRS, o="candidate_entity_id", n=20)))(lambda f: labeling.first_negatives(f.labelled, 20).select(*S.PAIR, "label"))
 query("t04_entity_split", over("labelled", f"select {PAIRS}, label, ('0x' || substr(md5(source1_entity_id), 1, 7))::bigint % 5 = 0 as held_out from labelled"))(
     lambda f: f.labelled.select(*S.PAIR, "label", (labeling.bucket("source1_entity_id", 5) == 0).alias("held_out"))
@@ -127,13 +128,13 @@ query("t16_selection_guard", over("scored", "select count(*) filter (score >= 0.
 @query("t05_boosted_trees")
 def _trees(f):
     rows = f.features.cache()
-    fitted = model.fit(labeling.with_negatives(rows.withColumn("label", F.col("label").cast("double")), 15), trees=5, depth=4)
+    fitted = model.fit(labeling.with_negatives(rows.withColumn("label", F.col("label").cast("double")), 15))
     return model.predict(rows, fitted).select(*S.PAIR, "label", F.round("score", 6).alias("score"))
 
 
 @query("t07_train_validate")
 def _train(f):
-    _, threshold, measured = model.train_validate(f.features.withColumn("label", F.col("label").cast("double")), T8, trees=3, refit=False)
+    _, threshold, measured = model.train_validate(f.features.withColumn("label", F.col("label").cast("double")), T8)
     rows = [(float(r["threshold"]), r["tp"], r["fp"], r["fn"], float(r["f05"]), r["threshold"] == threshold) for r in measured]
     return f.spark.createDataFrame(rows, "threshold double, tp long, fp long, fn long, f05 double, chosen boolean")
 

@@ -8,7 +8,7 @@ import pytest
 
 from kinmatch import schema as S
 from kinmatch.functions import text as X
-from kinmatch.operators import blocking
+from kinmatch.operators import blocking, model
 from kinmatch.plans import registry
 
 SF = "/root/testdata/sf0.01"
@@ -45,3 +45,20 @@ def test_unbounded_token_pairs(spark, duck):
     rows = same(spark, duck, "b16_unbounded_token_pairs")
     bounded = duck.sql(registry.oracle_sql()["b16_address_token_pairs"]).fetchall()
     assert rows != sorted(bounded)
+
+
+@pytest.mark.parametrize("name, fits", [("t05_boosted_trees", 1), ("t07_train_validate", 2)])
+def test_matcher_queries_fit_the_production_model(spark, monkeypatch, name, fits):
+    real, seen = model.fit, []
+
+    def small(rows, trees=model.TREES, depth=7, seed=42):
+        seen.append((trees, depth))
+        return real(rows, 2, 2, seed)
+
+    monkeypatch.setattr(model, "fit", small)
+    assert registry.queries()[name](spark, SF.replace("0.01", "0.001")).count() > 0
+    assert seen == [(350, 7)] * fits
+
+
+def test_25_negatives_for_validation(spark, duck):
+    assert len(same(spark, duck, "n03_validation_25")) > duck.sql(registry.oracle_sql()["n03_validation_sampling"]).count("label").fetchall()[0][0]
