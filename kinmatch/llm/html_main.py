@@ -13,9 +13,11 @@ menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 are dropped by the names of their elements, as their texts may differ on every page.
 
 Defined results: a null or empty html gives the empty text; a null or odd url belongs to the
-host ''; a host of one page has no valid class and goes by its elements alone; broken markup is
-closed where its parent closes; rows with equal ids are pages of their own; an empty table gives
-an empty result; other columns are ignored.
+host ''; a host of one page, copies not counted, has no valid class and goes by its elements
+alone; broken markup is closed where its parent closes; rows with equal ids are pages of their
+own; rows with equal html have one vote on their host's template, and each has its text; the
+template never removes all blocks of a page, which then stay; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import map_batches, table, written
@@ -137,6 +139,11 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
+def _host() -> Column:
+    """host_of as a column of the url."""
+    return F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), "^(?:[a-zA-Z][\\w+.-]*:)?//(?:[^/@?#]*@)?([^/:?#]*)", 1))
+
+
 def _text_token(block: Block) -> str:
     return f"{block.path}|{zlib.crc32(block.text.encode('utf-8', 'surrogatepass')):08x}{len(block.text):x}"
 
@@ -184,7 +191,9 @@ def templates(pages: DataFrame) -> DataFrame:
     other valid classes with the slot they are in), body (the path of the article body, or null)
     and texts (the text blocks that belong to valid classes)."""
     sums = [F.sum(c).alias(c) for c in ("pages", "total", "low", "high", "place", "chars")]
-    stats = written(occurrences(pages).groupBy("host", "token").agg(*sums), "occurrences")
+    # copies of a page have one vote, or their own text would be a class
+    votes = pages.select(F.md5("html").alias("page_id"), "url", "html", _host().alias("_h")).dropDuplicates(["_h", "page_id"])
+    stats = written(occurrences(votes).groupBy("host", "token").agg(*sums), "occurrences")
     hosts = stats.where("token = ''").select(F.col("host").alias("_host"), F.col("pages").alias("n_pages"))
     vector = ["host", "n_pages", "pages", "total", "low", "high"]
     valid = stats.where("token <> '' and pages > 1").join(hosts, F.col("host") == F.col("_host")).where(F.col("pages") >= F.col("n_pages") * SUPPORT)
@@ -219,17 +228,16 @@ def main_text(page: str | None, body: str | None = None, texts: frozenset[str] =
     elif any(x.body for x in kept):
         kept = [x for x in kept if x.body]
     else:
-        kept = [x for x in kept if _text_token(x) not in texts]
+        kept = [x for x in kept if _text_token(x) not in texts] or kept
     return "\n".join(x.text for x in kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of each row."""
     by_host = written(templates(pages).select(F.col("host").alias("_host"), "body", "texts"), "templates")
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), "^(?:[a-zA-Z][\\w+.-]*:)?//(?:[^/@?#]*@)?([^/:?#]*)", 1))
     # the template table is joined by what its size allows: broadcast below Spark's threshold,
     # else shuffled, where AQE splits the pages of a large host
-    rows = pages.select("page_id", "url", "html", host.alias("_h")).join(by_host, F.col("_h") == F.col("_host"), "left").select("page_id", "url", "html", "body", "texts")
+    rows = pages.select("page_id", "url", "html", _host().alias("_h")).join(by_host, F.col("_h") == F.col("_host"), "left").select("page_id", "url", "html", "body", "texts")
     kind = dict(pages.dtypes)["page_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
