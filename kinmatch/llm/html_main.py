@@ -10,7 +10,9 @@ tokens occur once a page is the host's template; the other valid classes nest in
 between its tokens. Pages are then read again: where the template has an article body, its slots
 are the text; else the text is what remains outside of the template's own text blocks. Slots in
 menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
-are dropped by the names of their elements, as their texts may differ on every page.
+are dropped by the names of their elements, as their texts may differ on every page. A class, id
+or role says so if all of its words are such names; it is overruled around the template's body
+where that holds more text than the slots beside it, and where nothing else of the page is left.
 
 Defined results: a null or empty html gives the empty text; a null or odd url belongs to the
 host ''; a host of one page, copies not counted, has no valid class and goes by its elements
@@ -58,21 +60,23 @@ class Block(NamedTuple):
     path: str  # the innermost structural element
     body: bool  # in an article body
     dropped: bool
+    by_tag: bool  # dropped by a tag's own name, not by a class, id or role
+    depth: int  # of the innermost element that drops it, or -1
     inside: tuple[str, ...]  # paths of all open structural elements
 
 
 def _named(attributes: str) -> tuple[str, bool]:
     """What an element is called beside its tag, and whether that says it isn't main text."""
     found = {k.lower(): v.strip("\"'").lower() for k, v in _NAMES.findall(attributes)} if "=" in attributes else {}
-    words = re.split(r"[^a-z]+", " ".join(found.values()))
+    names = [re.split(r"[^a-z]+", x) for x in " ".join(found.values()).split()]
     mark = "".join(f".{x}" for x in found.get("class", "").split()) + (f"#{found['id']}" if found.get("id", "").isalpha() else "")
-    return mark, any(w in DROPPED_NAMES for w in words)
+    return mark, any(any(ws) and all(w in DROPPED_NAMES for w in ws if w) for ws in names)
 
 
 def read_page(page: str | None) -> tuple[list[tuple[str, int]], list[Block]]:
     """Structural tokens with the text length in their element, and the text blocks, in order."""
     page = page or ""
-    stack: list[tuple[str, str, bool, bool, int]] = []  # name, path, in a body, dropped, its token
+    stack: list[tuple[str, str, bool, bool, int, bool, int]] = []  # name, path, in a body, dropped, its token, dropped by tag, depth
     tokens: list[list] = []
     blocks: list[Block] = []
     text: list[str] = []
@@ -83,8 +87,8 @@ def read_page(page: str | None) -> tuple[list[tuple[str, int]], list[Block]]:
             said = " ".join(html_lib.unescape("".join(text)).split())
             text.clear()
             if said:
-                top = stack[-1] if stack else ("", "", False, False, -1)
-                blocks.append(Block(said, top[1], top[2], top[3], tuple(s[1] for s in stack)))
+                top = stack[-1] if stack else ("", "", False, False, -1, False, -1)
+                blocks.append(Block(said, top[1], top[2], top[3], top[5], top[6], tuple(s[1] for s in stack)))
                 for s in stack:
                     tokens[s[4]][1] += len(said)
 
@@ -121,12 +125,13 @@ def read_page(page: str | None) -> tuple[list[tuple[str, int]], list[Block]]:
         if name == "hr":
             continue
         mark, odd = _named(m[3])
-        body, dropped = (stack[-1][2], stack[-1][3]) if stack else (False, False)
+        body, dropped, by_tag, depth = (stack[-1][2], stack[-1][3], *stack[-1][5:]) if stack else (False, False, False, -1)
         odd = odd and name not in ("html", "body", "article", "main") and name != "h1"
-        dropped = dropped or name in DROPPED or odd or (name == "header" and not body)
+        tag = name in DROPPED or (name == "header" and not body)
+        dropped, by_tag, depth = dropped or tag or odd, by_tag or tag, len(stack) if tag or odd else depth
         path = (stack[-1][1] if stack else "") + ">" + name + mark
         tokens.append([path, 0])
-        stack.append((name, path, body or name in BODIES, dropped, len(tokens) - 1))
+        stack.append((name, path, body or name in BODIES, dropped, len(tokens) - 1, by_tag, depth))
     text.append(page[pos:])
     flush()
     while stack:
@@ -223,8 +228,15 @@ def main_text(page: str | None, body: str | None = None, texts: frozenset[str] =
     """The main text of one page under its host's template."""
     tokens, blocks = read_page(page)
     kept = [x for x in blocks if not x.dropped]
-    if body and any(t == body for t, _ in tokens):
-        kept = [x for x in kept if body in x.inside]
+    # a name around the template's body, or around all of a page, does not speak for what is in it
+    within = [x for x in blocks if body and body in x.inside and not x.by_tag and x.depth < x.inside.index(body)]
+    beside = [x for x in kept if body not in x.inside and _text_token(x) not in texts]
+    if sum(len(x.text) for x in within) > sum(len(x.text) for x in beside):
+        return "\n".join(x.text for x in within)
+    kept = kept or [x for x in blocks if not x.by_tag]
+    in_body = [x for x in kept if body in x.inside]
+    if body and (in_body or not within) and any(t == body for t, _ in tokens):
+        kept = in_body
     elif any(x.body for x in kept):
         kept = [x for x in kept if x.body]
     else:

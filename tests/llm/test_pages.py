@@ -24,3 +24,18 @@ def test_a_template_leaves_some_text(spark):
     # the same words on pages of different markup
     got = texts(spark, [story(k, "same words").replace("<body>", f"<body><!-- {k} -->") for k in range(4)])
     assert all("same words" in t for t in got.values())
+
+
+def test_names_around_the_body(spark):
+    wrapped = lambda k, c: f"<body><p>menu</p><div class='{c}'><article><div class='entry-header'><h1>Title {k}</h1></div><p>story {k} of many words</p><div class='ad'>buy</div><section class='related-work'>others {k}</section></article></div></body>"
+    for c in ("content-sidebar-wrap", "has-sidebar", "sidebar"):
+        got = texts(spark, [wrapped(k, c) for k in range(4)])
+        assert got == {k: f"Title {k}\nstory {k} of many words\nothers {k}" for k in range(4)}
+    # an article in a sidebar is not the body where the varying text is beside it
+    promo = [f"<body><div class='sidebar'><article>buy {k}</article></div><div><p>a long story with the number {k}</p></div></body>" for k in range(4)]
+    assert texts(spark, promo) == {k: f"a long story with the number {k}" for k in range(4)}
+
+
+def test_names_that_still_drop():
+    assert html_main.main_text("<div class='cookie-banner'>c</div><ul class='breadcrumb nav'>b</ul><div id='comments'>r</div><p>text</p>") == "text"
+    assert html_main.main_text("<div id='page' class='sidebar'><nav>n</nav><p>all text</p></div>") == "all text"
