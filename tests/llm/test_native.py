@@ -176,3 +176,62 @@ def test_chat_of_odd_tables(spark):
     got = chat.read_back(chat.windows(spark.createDataFrame(rows, TURNS))).collect()
     assert len(got) == 1 and got[0].n_turns == 3
     assert got[0].turns_sha256 == talk([("user", "a"), ("user", "a"), ("user", "b")])[1]
+
+
+def conversations():
+    rng = random.Random(12)
+    said = lambda n: "".join(rng.choice(["word ", "日本", "<|end|>", "x"]) for _ in range(n))
+    convs = {
+        0: [("system", "s" * 3600), *[(("user", "assistant")[k % 2], "t" * 300) for k in range(20)]],  # a long system turn
+        1: [("system", said(40)), *[(("user", "assistant")[k % 2], said(rng.randint(0, 120))) for k in range(60)]],
+        2: [(("user", "assistant")[k % 2], "short") for k in range(200)],
+        3: [("system", "s" * 5000), ("user", "a"), ("assistant", "b" * 9000), ("user", "c")],  # nothing fits beside it
+        4: [("user", "x" * 4077), ("assistant", "y" * 2040), ("user", "z" * 2040), ("assistant", "ok")],
+    }
+    return convs, [(c, k, r, t) for c, turns in convs.items() for k, (r, t) in enumerate(turns)]
+
+
+def plain_windows(turns, budget=4096, history=1024):
+    """The windows of one conversation, step by step: (system turn, history, own turns)."""
+    esc = lambda x: x.replace("\\", "\\z").replace("<", "\\l").replace("[", "\\b").replace("|", "\\p")
+    size = lambda x: len(esc(x[0]).encode()) + len(esc(x[1]).encode()) + 15
+    sys = turns[0] if turns and turns[0][0] == "system" else None
+    rest = turns[1:] if sys else turns
+    room = budget - (size(sys) if sys else 0)
+    half = max(1, room // 2)
+    out, key, small, bigs = [], None, 0, 0
+    for k, x in enumerate(rest):
+        big = size(x) > half
+        bigs += big
+        now = (bigs, -1 if big else small // half)
+        small += 0 if big else size(x)
+        if now != key:
+            out.append([k, k])
+        out[-1][1], key = k + 1, now
+    found = []
+    for n, (a, b) in enumerate(out):
+        left = min(history, room - sum(map(size, rest[a:b])))
+        h = a
+        while n and h > 0 and sum(map(size, rest[h - 1 : a])) <= left:
+            h -= 1
+        found.append((sys, rest[h:a], rest[a:b]))
+    write = lambda kind, x: f"<|{kind} {esc(x[0])}|>{esc(x[1])}<|end|>"
+    return ["".join([write("rep" if n else "sys", s)] if s else []) + "".join(write("his", x) for x in h) + "".join(write("new", x) for x in own) for n, (s, h, own) in enumerate(found)]
+
+
+def test_windows_are_within_the_budget(spark):
+    convs, rows = conversations()
+    got = defaultdict(list)
+    for w in chat.windows(spark.createDataFrame(rows, TURNS)).orderBy("conv_id", "window").collect():
+        got[w.conv_id].append(w.formatted)
+    for c, turns in convs.items():
+        assert got[c] == plain_windows(turns), c
+        for w in got[c]:
+            own = w.count("<|new ")
+            alone = own == 1 and "<|his " not in w
+            assert len(w.encode()) <= chat.BUDGET or alone, c
+    assert all(len(w.encode()) <= chat.BUDGET for c in (0, 1, 2, 4) for w in got[c])
+    assert any(w.count("<|his ") > 5 for w in got[2])
+    back = {r.conv_id: r for r in chat.read_back(chat.windows(spark.createDataFrame(rows, TURNS))).collect()}
+    for c, turns in convs.items():
+        assert tuple(back[c])[1:5] == talk(turns), c
