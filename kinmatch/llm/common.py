@@ -2,57 +2,56 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..workspace import discard, written  # noqa: F401
+
 #: What separates words: the ASCII white space.
 WORD_SPACE = " \t\n\x0b\x0c\r"
 WORD_SPACE_CLASS = "[\\x20\\x09-\\x0D]"
 
-_own_folder: list[str] = []
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or where
-    that is unset (tests on one machine) a temporary folder of this process."""
-    named = spark.conf.get("spark.checkpoint.dir", "")
-    if named:
-        return named.rstrip("/")
-    if not _own_folder:
-        _own_folder.append("file://" + tempfile.mkdtemp(prefix="kinmatch-"))
-    return _own_folder[0]
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` written as a Parquet table in the shared folder and read again.
-
-    This cuts the lineage: whoever reads the result doesn't compute `df` again, and a lost
-    executor takes nothing with it. Only narrow intermediate tables go through here."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/kinmatch/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-#: Rows that go to a Python worker at once; whole texts may be long, so few of them.
-BATCH_ROWS = 1000
-
-
 def map_batches(rows: DataFrame, run, schema: str) -> DataFrame:
-    """mapInArrow with batches of BATCH_ROWS rows, which bounds what a worker holds."""
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """mapInArrow. Spark ends a batch at 64 MB (maxBytesPerBatch) or 10,000 rows, whichever comes
+    first, and the session's settings stay as the caller left them."""
     return rows.mapInArrow(run, schema)
 
 
+def hash_below(id_: Column, salt: int, share: float) -> Column:
+    """Whether a hash of the id falls into `share` of all 64-bit numbers. The bound is a 64-bit
+    number as well, so that a share of some rows out of 10**12 still is more than none."""
+    if share >= 1:
+        return F.lit(True)
+    return hash_of(id_, salt) < F.lit(int(share * 2.0**64) - 2**63)
+
+
+def hash_of(id_: Column, salt: int) -> Column:
+    return F.xxhash64(id_.cast("long"), F.lit(salt))
+
+
+def within_bytes(sizes: list[tuple[int, int]], most: int) -> int | None:
+    """For (hash, bytes) of rows: the largest hash up to which all rows together have at most
+    `most` bytes, or None if all rows do."""
+    if sum(n for _, n in sizes) <= most:
+        return None
+    last, total = -(2**63), 0
+    by_hash: dict[int, int] = {}
+    for h, n in sizes:
+        by_hash[h] = by_hash.get(h, 0) + n
+    for h in sorted(by_hash):
+        total += by_hash[h]
+        if total > most:
+            return last
+        last = h
+    return last
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` over `value`, which is computed once however often `body` names it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -2,16 +2,17 @@
 follow-the-regularised-leader updates and scored as sparse dot products.
 
 Features of a text are its tokens (runs of word characters, runs of other non-space characters),
-their pairs, and the triples that the text has had before, counted under one name. They are
-hashed into 2**BITS weights and scaled to unit length, whatever the length of the text.
+their pairs and triples, and, under one name of its own, how many triples the text has had before.
+They are hashed into 2**BITS weights and scaled to unit length, whatever the length of the text.
 
-The model is fitted on at most MAX_ROWS labelled rows, chosen by a hash of the id; everything
-else, scoring above all, covers whole texts of all rows.
+The model is fitted on about MAX_ROWS labelled rows and MAX_BYTES bytes of their texts at most,
+chosen by a hash of the id; everything else, scoring above all, covers whole texts of all rows.
 
-Defined results: a null or empty text has no features, so its score is that of the bias; equal
-texts have equal scores; a null id counts as held out; without labelled rows every score is 0.5;
+Defined results: a null or empty text has no features, so its score is that of the bias; a very
+long text is one sparse vector like any other; equal texts have equal scores; a null id counts as
+held out; rows with equal ids are scored one by one; without labelled rows every score is 0.5;
 labels other than 0 and 1 are ignored, and rows with several labels are used with each; an empty
-table gives an empty result; other columns are ignored.
+table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc32_of, map_batches, table
+from .common import crc32_of, hash_below, hash_of, map_batches, table, within_bytes
 
 BITS = 18
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
+#: Bounds of the labelled rows that are fitted on: rows, and bytes of their texts.
 MAX_ROWS = 8_000
+MAX_BYTES = 64 << 20
 THRESHOLD = 0.3
 
 _TOKEN = re.compile(rb"[0-9A-Za-z_\x80-\xff]+|[^\s0-9A-Za-z_\x80-\xff]+")
@@ -47,6 +50,7 @@ def features(text: str | None, bits: int = BITS) -> tuple[np.ndarray, np.ndarray
     if len(h) > 2:
         triple = pair[:-1] * np.uint64(0x165667B19E3779F9) + h[2:]
         again = len(triple) - len(np.unique(triple))
+        parts.append(triple * np.uint64(0xFF51AFD7ED558CCD))
         parts.append(np.full(again, 0xD6E8FEB86659FD93, dtype=np.uint64))
     index = (np.concatenate(parts) >> np.uint64(64 - bits)).astype(np.int64)
     index, count = np.unique(index, return_counts=True)
@@ -85,18 +89,21 @@ def held_out(id_: Column) -> Column:
     return crc32_of(id_) % 5 == 0
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_ROWS) -> list[tuple[str | None, int]]:
-    """At most about `most` labelled rows that aren't held out, the same on each run."""
+def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_ROWS, most_bytes: int = MAX_BYTES) -> list[tuple[str | None, int]]:
+    """About `most` labelled rows and `most_bytes` bytes of text at most, none of them held out,
+    the same on each run. First the sizes of the chosen rows are looked at, then texts are moved."""
     marked = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), "quality")
     n = marked.count()
     if not n:
         return []
-    share = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long"), F.lit(11)), F.lit(1_000_000)) < int(min(1.0, most / n) * 1_000_000)
-    chosen = marked.where(share("_id"))
+    share = lambda c: hash_below(F.col(c), 11, most / n)
     # the same filter by id on both sides keeps the texts that are moved to the bound
-    texts = docs.where(share("doc_id")).select("doc_id", "text")
-    rows = texts.join(chosen, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "quality").toPandas()
-    rows = rows.sort_values(["doc_id", "quality"], kind="stable")
+    some = docs.where(share("doc_id")).select("doc_id", "text", hash_of(F.col("doc_id"), 11).alias("h"))
+    some = some.join(marked.where(share("_id")), F.col("doc_id") == F.col("_id"))
+    sizes = some.select("h", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")).collect()
+    last = within_bytes([(r["h"], r["n"]) for r in sizes], most_bytes)
+    rows = (some if last is None else some.where(F.col("h") <= last)).select("doc_id", "text", "quality").toPandas()
+    rows = rows.sort_values(["doc_id", "quality", "text"], kind="stable")
     return list(zip(rows["text"], rows["quality"].astype(int)))
 
 
