@@ -3,21 +3,22 @@
 Fingerprints: words lower-cased in A-Z, shingles of three words with their repeats, XXH64 of
 each shingle with seed 42; a bit of the fingerprint is 1 if it is set in over half the hashes.
 
-Search, over distinct fingerprints only, so copies cost nothing: the table of Hamming distances
-to PIVOTS reference fingerprints is computed once per fingerprint. Two fingerprints within
-RADIUS bits of each other agree on at least four of six blocks, so fingerprints meet on each
-choice of four blocks (an equi-join, never all against all); of the pairs that meet, those
-whose distances to any pivot differ by more than RADIUS are discarded (triangle inequality),
-and the rest are verified bit by bit. Where more than GROUP distinct fingerprints meet on one
-choice of blocks, no pairs are made: each of them is listed under itself and its 64 neighbours
-at one bit. Two fingerprints are within two bits exactly if they share such an entry, and an
-entry has 65 members at most, so linking each entry's members to its smallest one loses no link
-and needs no pair. Links go to connected components.
+Search, over distinct fingerprints only, so copies cost nothing. Two fingerprints within RADIUS
+bits agree on at least four of six blocks, so those that share no choice of four blocks with
+another are out. For the others the table of Hamming distances to PIVOTS reference fingerprints is
+computed, once each. In the bits that a choice leaves free the same argument is used again: eight
+parts, of which six agree. What meets on six parts differs in six bits at most, so a group has at
+most 64 members by construction, however dense the fingerprints lie, and a choice of four blocks
+at most 2**22. Of the pairs in a group those whose distances to any pivot differ by more than
+RADIUS are discarded (triangle inequality), and the rest are verified bit by bit. There is no
+other way for large or small groups. Links go to connected components.
 
 Defined results: a null text, or one without words, has fingerprint zero, which links like any
-other; fewer than three words are one shingle; rows with equal ids are fingerprinted one by one;
-ids that are null don't count as the smallest; a component whose ids are all null has a null
-component_id; an empty table gives an empty result; other columns are ignored.
+other; a very long text is fingerprinted whole, in stretches; fewer than three words are one
+shingle; rows with equal ids are fingerprinted one by one; ids that are null don't count as the
+smallest; a component whose ids are all null has a null component_id; an empty table gives an
+empty result; other columns are ignored by near_duplicates and kept by keep_first, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import itertools
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import map_batches, table, written
@@ -36,9 +37,9 @@ SHINGLE = 3
 SEED = 42
 RADIUS = 2
 PIVOTS = 16
-GROUP = 64
 BLOCKS = (11, 11, 11, 11, 10, 10)
 AGREE = len(BLOCKS) - RADIUS
+PARTS = 8
 
 
 def _signed(x: int) -> int:
@@ -52,10 +53,22 @@ def pivots(n: int = PIVOTS) -> list[int]:
     return [_signed(xxhash.xxh64_intdigest(str(k).encode(), 7)) for k in range(n)]
 
 
+def _stretches(bits: list[int], widths: list[int]) -> list[int]:
+    """Masks of consecutive stretches of `bits`, which are bit numbers."""
+    ends = list(itertools.accumulate(widths))
+    return [sum(1 << b for b in bits[e - w : e]) for w, e in zip(widths, ends)]
+
+
 def block_masks() -> list[int]:
-    ends = list(itertools.accumulate(BLOCKS))
-    block = [((1 << w) - 1) << (e - w) for w, e in zip(BLOCKS, ends)]
-    return [_signed(sum(c)) for c in itertools.combinations(block, AGREE)]
+    """For each choice of AGREE blocks the mask of their bits, unsigned."""
+    return [sum(c) for c in itertools.combinations(_stretches(list(range(64)), list(BLOCKS)), AGREE)]
+
+
+def part_masks(agreed: int) -> list[int]:
+    """All bits but those of two parts of what `agreed` leaves free, for each two parts."""
+    free = [b for b in range(64) if not agreed >> b & 1]
+    widths = [len(free) // PARTS + (k < len(free) % PARTS) for k in range(PARTS)]
+    return [(1 << 64) - 1 - sum(c) for c in itertools.combinations(_stretches(free, widths), RADIUS)]
 
 
 def simhash(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -91,53 +104,63 @@ def _apart(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def links(fps: DataFrame, group: int = GROUP) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints of `fps` (one column fp, distinct) whose
-    components are those of all pairs within RADIUS bits."""
-    keys = F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in block_masks()])
-    met = fps.select("fp", F.posexplode(keys).alias("c", "k"))
-    sizes = met.groupBy("c", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("c").alias("_c"), F.col("k").alias("_k"), "n")
-    groups = written(met.join(sizes, (F.col("c") == F.col("_c")) & (F.col("k") == F.col("_k"))).select("fp", "c", "k", "n"), "met")
+def links(fps: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of all distinct fingerprints of `fps` (one column fp, distinct) that
+    are within RADIUS bits of each other."""
+    masks = block_masks()
+    keys = F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])
+    met = fps.select("fp", F.posexplode(keys).alias("c", "k")).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("c", "k")))
+    met = written(met.where("n > 1").select("fp", "c"), "met")
 
     distances = F.array(*[_apart(F.col("fp"), F.lit(p)).cast("byte") for p in pivots()])
-    few = groups.where(F.col("n") <= group).select("c", "k", "fp", distances.alias("d"))
-    other = few.select(F.col("c").alias("_c"), F.col("k").alias("_k"), F.col("fp").alias("_fp"), F.col("d").alias("_d"))
-    widest = F.greatest(*[F.abs(F.get("d", F.lit(i)) - F.get("_d", F.lit(i))) for i in range(PIVOTS)])
-    pairs = few.join(other, (F.col("c") == F.col("_c")) & (F.col("k") == F.col("_k")) & (F.col("fp") < F.col("_fp")) & (widest <= RADIUS))
-    close = pairs.where(_apart(F.col("fp"), F.col("_fp")) <= RADIUS).select(F.col("fp").alias("a"), F.col("_fp").alias("b"))
+    near = written(met.select("fp").distinct().select(F.col("fp").alias("_fp"), distances.alias("d")), "pivot-table")
+    parts = F.array(*[F.array(*[F.lit(_signed(m)) for m in part_masks(agreed)]) for agreed in masks])
+    groups = met.join(near, F.col("fp") == F.col("_fp")).select("fp", "d", "c", F.posexplode(F.transform(F.get(parts, F.col("c")), lambda m: m.bitwiseAND(F.col("fp")))).alias("s", "k"))
+    groups = groups.groupBy("c", "s", "k").agg(F.sort_array(F.collect_list(F.struct("fp", "d"))).alias("x")).where(F.size("x") > 1)
+
+    def within(a: Column, b: Column) -> Column:
+        discarded = F.exists(F.zip_with(a["d"], b["d"], lambda x, y: F.abs(x - y)), lambda apart: apart > RADIUS)
+        return ~discarded & (_apart(a["fp"], b["fp"]) <= RADIUS)
 
-    many = groups.where(F.col("n") > group).select("fp").distinct()
-    around = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(_signed(1 << j))) for j in range(64)])
-    entries = many.select("fp", F.explode(around).alias("z")).groupBy("z").agg(F.collect_list("fp").alias("m")).where(F.size("m") > 1)
-    stars = entries.select(F.array_min("m").alias("a"), F.explode("m").alias("b")).where("a <> b")
-    return close.union(stars).distinct()
+    close = F.flatten(F.transform("x", lambda a: F.transform(F.filter("x", lambda b: (a["fp"] < b["fp"]) & within(a, b)), lambda b: F.struct(a["fp"].alias("a"), b["fp"].alias("b")))))
+    return groups.select(F.explode(close).alias("p")).select("p.a", "p.b").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp and component_id, one row per row of `docs`."""
     rows = written(fingerprints(docs, id_col, text_col), "fingerprints")
-    fps = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "distinct")
-    roots = components(links(fps.select("fp"), group))
+    fps = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    roots = components(links(fps.select("fp")))
     whole = roots.union(roots.select("root", "root").distinct()).toDF("node", "root")
-    named = whole.join(fps, F.col("node") == F.col("fp")).select("node", "root", "least")
-    least = named.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "_root")
+    # A component may hold a third of the fingerprints, and a fingerprint a third of the rows. What
+    # is joined on them is written before, so that both sides are plain scans and AQE can split
+    # the rows of such a key over many tasks.
+    named = written(whole.join(fps, F.col("node") == F.col("fp")).select("node", "root", "least"), "named")
+    least = written(named.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "_root"), "least")
     linked = named.join(least, F.col("root") == F.col("_root")).select("node", "component_id")
     classes = fps.join(linked, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("_fp"), F.coalesce("component_id", "least").alias("component_id"))
-    # A fingerprint may hold a third of the rows. Both sides of this join are plain scans, so
-    # AQE can split the rows of such a fingerprint over many tasks.
     return rows.join(written(classes, "classes"), F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that remain when each component keeps the row of its smallest id.
 
-    Of rows with equal ids one remains; rows without an id can't be named and all remain."""
-    found = written(near_duplicates(docs).where("doc_id is not null"), "classes")
-    later = found.where("doc_id <> component_id").select("doc_id")
-    again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")  # none where ids are unique
-    once = docs.join(later.union(again).withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left_anti")
-    of_many = docs.join(again.join(later, "doc_id", "left_anti").withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return once.union(of_many)
+    Rows with equal ids count as one document, which goes if any of them is a later member of a
+    component, and else leaves one row; rows without an id can't be named and all remain. Texts
+    are moved once, for the join with the ids that are marked, or not at all where these are so
+    few that Spark sends them to every task."""
+    found = near_duplicates(docs, id_col, text_col).where("doc_id is not null")
+    marks = found.groupBy("doc_id").agg(F.bool_or(F.col("doc_id") != F.col("component_id")).alias("later"), (F.count(F.lit(1)) > 1).alias("again"))
+    name = "_mark"
+    while name in docs.columns:
+        name += "_"
+    marks = written(marks.where("later or again").select(F.struct("doc_id", "later", "again").alias(name)), "marks")
+    joined = docs.join(marks, docs[id_col].cast("long") == marks[name]["doc_id"], "left")
+    once = joined.where(F.col(name).isNull()).drop(name)
+    if marks.where(F.col(name)["again"] & ~F.col(name)["later"]).isEmpty():
+        return once
+    first = joined.where(F.col(name)["again"] & ~F.col(name)["later"]).dropDuplicates([id_col]).drop(name)
+    return once.union(first)
 
 
 def op7_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

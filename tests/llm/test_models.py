@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kinmatch.llm import components, html_main, language, matroska, near_dup, packing, quality_model
+from kinmatch.llm import common, components, html_main, language, matroska, near_dup, packing, quality_model
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -47,6 +47,56 @@ def test_quality_of_odd_rows(spark):
     assert quality_model.score(docs(spark, []), weights, bias).count() == 0
 
 
+def test_quality_of_clashing_and_repeated_rows(spark):
+    weights, bias = quality_model.train([("good words here", 1), ("$$$ %%%", 0)] * 20)
+    long = "good words here " * 100_000
+    df = spark.createDataFrame([(None, "good words", "x"), (1, "$$$", "x"), (1, "$$$", "y"), (2, long, "z")], "doc_id long, text string, score string").withColumn("quality", F.col("score"))
+    got = sorted((r.doc_id or -1, r.score) for r in quality_model.score(df, weights, bias).collect())
+    assert [k for k, _ in got] == [-1, 1, 1, 2] and got[1] == got[2] and got[3][1] > 0.5
+    labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (2, 7), (2, None), (2, 1)], "doc_id long, quality int").withColumn("text", F.lit("clash"))
+    learned = quality_model.training_rows(df, labels)
+    assert Counter((t, y) for t, y in learned if t == "$$$") == ({("$$$", 0): 2, ("$$$", 1): 2} if zlib.crc32(b"1") % 5 else {})
+
+
+def plain_ftrl(rows, epochs):
+    """Follow the regularised leader with dictionaries, a weight at a time."""
+    q = quality_model
+    z, n, bz, bn = defaultdict(float), defaultdict(float), 0.0, 0.0
+
+    def weight(i):
+        return 0.0 if abs(z[i]) <= q.L1 else -(z[i] - np.sign(z[i]) * q.L1) / ((q.BETA + n[i] ** 0.5) / q.ALPHA + q.L2)
+
+    order = np.random.default_rng(1)
+    for _ in range(epochs):
+        for k in order.permutation(len(rows)):
+            text, y = rows[k]
+            x = {int(i): float(np.float32(v)) for i, v in zip(*q.features(text))}
+            w = {i: weight(i) for i in x}
+            b = -bz / ((q.BETA + bn**0.5) / q.ALPHA)
+            d = 1 / (1 + np.exp(-(sum(w[i] * v for i, v in x.items()) + b))) - y
+            for i, v in x.items():
+                z[i] += d * v - ((n[i] + (d * v) ** 2) ** 0.5 - n[i] ** 0.5) / q.ALPHA * w[i]
+                n[i] += (d * v) ** 2
+            bz += d - ((bn + d * d) ** 0.5 - bn**0.5) / q.ALPHA * b
+            bn += d * d
+    return {i: weight(i) for i in z}, -bz / ((q.BETA + bn**0.5) / q.ALPHA)
+
+
+def test_ftrl_by_hand(spark):
+    rng = random.Random(2)
+    words = "a bb ccc dd# ee $$ ff gg".split()
+    rows = [(" ".join(rng.choices(words[4 * y : 4 * y + 5], k=rng.randint(0, 9))), y) for y in (0, 1) for _ in range(15)]
+    weights, bias = quality_model.train(rows)
+    want, plain_bias = plain_ftrl(rows, quality_model.EPOCHS)
+    assert bias == pytest.approx(plain_bias, rel=1e-4) and sum(map(bool, want.values())) > 10
+    for i, w in want.items():
+        assert weights[i] == pytest.approx(w, rel=1e-3, abs=1e-5)
+    assert np.count_nonzero(weights) <= len(want)
+    for r in quality_model.score(docs(spark, [t for t, _ in rows]), weights, bias).collect():
+        x = dict(zip(*quality_model.features(rows[r.doc_id][0])))
+        assert r.score == pytest.approx(1 / (1 + np.exp(-(sum(want.get(int(i), 0.0) * v for i, v in x.items()) + plain_bias))), abs=1e-3)
+
+
 def test_language_held_out(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.train(language.training_rows(df))
@@ -57,15 +107,74 @@ def test_language_held_out(spark):
 def test_language_of_odd_rows(spark):
     rows = [("the cat sat on the mat", "en"), ("le chat est sur la table", "fr"), ("der Hund ist im Haus", "de")] * 5
     model = language.train(rows)
-    df = docs(spark, [None, "", "123 !!", "the cat on the mat", "der Hund im Haus"]).withColumn("lang_pred", F.lit("clash"))
-    got = [r.lang_pred for r in language.identify(df.drop("lang_pred"), model).orderBy("_id").collect()]
-    assert got == ["und", "und", "und", "en", "de"]
+    df = docs(spark, [None, "", "123 !!", "the cat on the mat", "der Hund im Haus", "der Hund im Haus " * 100_000])
+    clash = df.withColumns({c: F.lit("clash") for c in ("lang_pred", "_id", "lang_score", "ambiguous")})
+    got = [r.lang_pred for r in language.identify(clash, model).orderBy("_id").collect()]
+    assert got == ["und", "und", "und", "en", "de", "de"]
+    twice = spark.createDataFrame([(None, "der Hund", "de", "s", 0), (1, "the cat", None, "s", 0), (1, "the cat", "en", "s", 0)], DOCS)
+    assert Counter((r._id, r.lang_pred) for r in language.identify(twice, model).collect()) == {(None, "de"): 1, (1, "en"): 2}
+    assert sorted(language.training_rows(twice)) == [("der Hund", "de"), ("the cat", "en")]
     assert language.train([]).decode("text") == ("und", 0.0, False)
     assert language.train([("ein Text", "de")]).decode("some text") == ("de", 1.0, False)
     assert language.identify(docs(spark, []), model).count() == 0
     assert language.training_rows(docs(spark, ["x"])) == []
 
 
+@pytest.mark.parametrize("n", [10**3, 10**7, 10**10, 10**12])
+def test_share_of_training_rows(spark, n):
+    """The share stays what it should be, however many rows there are."""
+    share = language.share_of(n, n * 2000, 4)
+    assert share * n == pytest.approx(min(n, 1250))
+    # ids of which about 2**64 * share lie below the bound
+    bound = int(share * 2.0**64) - 2**63 if share < 1 else 2**63
+    assert (bound + 2**63) / 2.0**64 * n == pytest.approx(min(n, 1250), rel=1e-6)
+    wide = spark.range(100_000).where(common.hash_below(F.col("id"), 12, 0.01)).count()
+    assert 800 < wide < 1200
+
+
+def test_bytes_of_training_rows(spark):
+    assert common.within_bytes([(5, 10), (1, 10), (3, 10)], 30) is None
+    assert common.within_bytes([(5, 10), (1, 10), (3, 10)], 25) == 3
+    assert common.within_bytes([(5, 100)], 25) < 5
+    df = spark.createDataFrame([(k, "word " * 200, "en", "s", 0) for k in range(400)], DOCS)
+    rows = language.training_rows(df, most_bytes=100_000)
+    assert 50_000 < sum(len(t) for t, _ in rows) < 150_000
+    labels = spark.createDataFrame([(k, k % 2) for k in range(400)], "doc_id long, quality int")
+    assert sum(len(t) for t, _ in quality_model.training_rows(df, labels, most_bytes=100_000)) <= 100_000
+
+
+def test_mixed_texts_are_ambiguous(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.train(language.training_rows(df))
+    rows = [r for r in df.where(language.held_out(F.col("doc_id")) & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang").collect() if language.has_letter(r.text)]
+    assert np.mean([model.decode(r.text)[2] for r in rows]) < 0.01
+    rng, mixed = random.Random(3), []
+    for _ in range(200):
+        a, b = rng.choice(rows), rng.choice(rows)
+        if a.lang != b.lang:
+            x, y = a.text.split(), b.text.split()
+            n = min(len(x), len(y))
+            mixed.append(model.decode(" ".join(x[:n] + y[:n]))[2])
+    assert np.mean(mixed) > 0.25
+
+
+def test_decoding_by_hand():
+    """The nearest codeword by the weighted logistic loss, bit by bit."""
+    rng = random.Random(7)
+    said = {"aa": "abc abd abe", "bb": "xyz xyw xyv", "cc": "mno mnp mnq", "dd": "rst rsu rsv"}
+    model = language.train([(" ".join(rng.choices(v.split(), k=6)), k) for k, v in said.items() for _ in range(5)])
+    for t in ["abc xyz", "mno", "rst rsu abc", "xyv xyw", "qqq"]:
+        grams = Counter(int(i) for part in language.ngrams(t) for i in part)
+        raw = [sum(n * float(model.table[i, b]) for i, n in grams.items()) / sum(grams.values()) for b in range(model.code.shape[1])]
+        losses = []
+        for word in model.code:
+            losses.append(sum(w * np.log1p(np.exp(-int(c) * (r * s + h))) for c, r, s, h, w in zip(word, raw, model.scale, model.shift, model.trust)))
+        best = min(range(4), key=lambda k: losses[k])
+        lang, _, ambiguous = model.decode(t)
+        assert lang == model.langs[best]
+        assert ambiguous == (sorted(losses)[1] - min(losses) < language.MARGIN)
+
+
 @pytest.mark.parametrize("n", [2, 3, 4, 6, 9, 20])
 def test_codewords(n):
     code = language.codewords(n)
@@ -109,10 +218,10 @@ def brute_components(prints, radius=2):
     return [find(k) for k in range(len(prints))]
 
 
-@pytest.mark.parametrize("group", [1, 3, 64])
-def test_links_lose_nothing(spark, group):
-    """Clusters, chains and a dense ball, by pairs and by entries of one bit."""
-    rng = random.Random(group)
+@pytest.mark.parametrize("seed", [1, 3, 64])
+def test_links_lose_nothing(spark, seed):
+    """Clusters, chains and a dense ball."""
+    rng = random.Random(seed)
     prints = [rng.getrandbits(64) for _ in range(60)]
     for seed in prints[:6]:
         x = seed
@@ -125,13 +234,52 @@ def test_links_lose_nothing(spark, group):
     for k, r in enumerate(brute_components(prints)):
         want[r].add(near_dup._signed(prints[k]))
     df = spark.createDataFrame([(near_dup._signed(x),) for x in prints], "fp long")
-    roots = {r.node: r.root for r in components.components(near_dup.links(df, group)).collect()}
+    roots = {r.node: r.root for r in components.components(near_dup.links(df)).collect()}
     got = defaultdict(set)
     for x in prints:
         got[roots.get(near_dup._signed(x), near_dup._signed(x))].add(near_dup._signed(x))
     assert sorted(map(sorted, want.values())) == sorted(map(sorted, got.values()))
 
 
+def test_links_are_all_pairs(spark):
+    """A hot block value: thousands of fingerprints that differ in the bits of two blocks alone."""
+    rng = random.Random(9)
+    base = rng.getrandbits(64)
+    prints = list({base ^ rng.getrandbits(11) ^ rng.getrandbits(3) << 11 for _ in range(3000)} | {rng.getrandbits(64) for _ in range(100)})
+    got = {(r.a, r.b) for r in near_dup.links(spark.createDataFrame([(near_dup._signed(x),) for x in prints], "fp long")).collect()}
+    known = set(prints)
+    flips = [1 << j for j in range(64)] + [1 << j | 1 << k for j in range(64) for k in range(j)]
+    want = {tuple(sorted((near_dup._signed(x), near_dup._signed(x ^ f)))) for x in prints for f in flips if x ^ f in known}
+    assert got == want and len(want) > 10_000
+
+
+def test_groups_are_bounded_by_construction():
+    for agreed in near_dup.block_masks():
+        free = 64 - bin(agreed).count("1")
+        assert free <= 22
+        for m in near_dup.part_masks(agreed):
+            assert m & agreed == agreed and 64 - bin(m).count("1") <= 6
+
+
+def test_components_of_a_star(spark):
+    """A node with 100,000 neighbours."""
+    df = spark.range(1, 100_001).selectExpr("id as u", "if(id % 2 = 0, 0, 200000) as v").union(spark.createDataFrame([(200_000, 5), (5, 0)], "u long, v long"))
+    got = components.components(df)
+    assert got.count() == 100_001 and got.select("root").distinct().collect() == [(0,)]
+
+
+def test_keep_first_of_clashing_columns(spark):
+    rows = [(1, "a b c d", "x"), (2, "a b c d", "y"), (3, "e f g h", "z"), (4, "i j k l", "u"), (4, "i j k l", "v"), (None, "a b c d", "w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id string").selectExpr("*", "_id as _mark", "_id as later", "_id as fp", "_id as component_id")
+    got = near_dup.keep_first(df)
+    assert got.columns == df.columns
+    kept = sorted((r.doc_id or -1, r._id, r._mark) for r in got.collect())
+    assert [x[0] for x in kept] == [-1, 1, 3, 4] and all(a == b for _, a, b in kept)
+    assert near_dup.keep_first(df.where("doc_id < 4")).count() == 2
+    long = spark.createDataFrame([(1, "w " * 300_000), (2, "w " * 300_000)], "doc_id long, text string")
+    assert [r.doc_id for r in near_dup.keep_first(long).collect()] == [1]
+
+
 def test_components_of_a_long_chain(spark):
     df = spark.range(300).selectExpr("id as u", "id + 1 as v")
     assert {r.root for r in components.components(df).collect()} == {0}
