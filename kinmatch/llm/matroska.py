@@ -4,7 +4,8 @@ The parser reads variable-length EBML elements, clusters, blocks with each kind
 Xiph, fixed-size, EBML) and cues, and lists packets with track, timestamp and byte range. The
 writer uses all kinds of lacing in turn.
 
-Defined results: a null text is stored like an empty one; an empty payload is padded to one unit;
+Defined results: a null text is stored like an empty one; a very long text is one file of many
+clusters, within one row; an empty payload is padded to one unit;
 equal texts give equal media; rows with equal ids are stored one by one; an empty table gives an
 empty result; other columns are ignored. Bytes that aren't a Matroska file raise ValueError.
 """

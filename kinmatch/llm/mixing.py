@@ -12,7 +12,9 @@ the target.
 
 Defined results: a null or empty text has size 0 and takes 0 words; null sources are a source
 of their own, last in the order of the weights; a source without words has target 0; rows with
-equal ids are sampled one by one; an empty table gives an empty result.
+equal ids are sampled one by one; ties of the hash go by id and size, so only rows that are equal
+in these change places; of a very long text only the size is ranked; an empty table gives an empty
+result; `mix` ignores other columns, whatever their names, and `sample` returns them as they are.
 """
 
 from __future__ import annotations

@@ -7,12 +7,17 @@ MERGE partitions are packed like pieces, whole window by whole window.
 
 Token ids come from the `tokenizers` vocabulary file named by `path`. Texts in which each
 character is a letter, digit or mark of the Latin blocks or ordinary ASCII space go through the
-`ranks` form of the same vocabulary, which gives the same ids several times faster; all others
-go through `tokenizers` itself (tests compare the two).
+`ranks` form of the same vocabulary, which gives the same ids at a fifth of the time; all others
+go through `tokenizers` itself (tests compare the two, README has the figures).
 
-Defined results: a null or empty text is a document of the end id alone; rows with equal ids are
-packed one by one; ids may be null; an empty table gives an empty result; other columns are
-ignored. Partitions are made by hash, so reruns and lost executors give the same windows.
+Pieces are dealt to partitions by a hash of what they are, so reruns and lost executors give the
+same windows. Repeated rows, which a hash would deal to one partition, are told apart by their
+count in the input partition that they are read in.
+
+Defined results: a null or empty text is a document of the end id alone; a very long text is as
+many pieces as it needs; rows with equal ids are packed one by one; ids may be null; of windows
+that fit equally well the one opened first is taken, and of equally full ones the one opened first
+is emitted; an empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,7 +41,7 @@ END_ID = 1
 ROWS = 750
 MERGE = 8
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, turn long"
 #: Characters on which both forms of the vocabulary split alike.
 PLAIN = r"[\t\n\x0b\x0c\r\x20-\x7e\xa1-ɏ]*"
 
@@ -70,21 +75,30 @@ def encoder(path: str, ranks: str | None) -> Callable[[str], bytes]:
 
 
 def pieces(docs: DataFrame, path: str, ranks: str | None, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
-    """Rows of PIECES: each document's ids, with the end id, in pieces of at most `length`."""
+    """Rows of PIECES: each document's ids, with the end id, in pieces of at most `length`. `turn`
+    is 0, but for a repeat of a document in its input partition a number of its own."""
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         encode = encoder(path, ranks)
+        seen: dict[tuple, int] = {}
+        here = TaskContext.get().partitionId()
         for b in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
                 ids = encode(text.as_py() or "") + end
                 n = len(ids) // 4
+                known = (doc_id, zlib.crc32(ids), n)
+                turn = seen[known] = seen.get(known, -1) + 1
+                if turn:
+                    turn = here << 32 | turn
                 for s in range(0, n, length):
                     part = ids[4 * s : 4 * (s + length)]
-                    for col, x in zip(out, (doc_id, s, len(part) // 4, zlib.crc32(part), n)):
+                    for col, x in zip(out, (doc_id, s, len(part) // 4, zlib.crc32(part), n, turn)):
                         col.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=[x.split()[0] for x in PIECES.split(", ")])
 
     return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, PIECES)
 
@@ -111,10 +125,10 @@ def best_fit(lengths: list[int], length: int = LENGTH, most_open: int = OPEN) ->
 def pack(rows: DataFrame, n_docs: int, length: int = LENGTH, most_open: int = OPEN) -> DataFrame:
     """PIECES rows with sequence_id and offset."""
     parts = max(1, -(-n_docs // ROWS))
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "doc_tokens", F.lit(9)), F.lit(parts)))
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens", "turn", F.lit(9)), F.lit(parts)))
 
     def first(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["doc_id", "doc_tokens", "start", "ids_crc32"], kind="stable", na_position="first")
+        g = g.sort_values(["doc_id", "doc_tokens", "start", "ids_crc32", "turn"], kind="stable", na_position="first")
         window, offset, left = best_fit(g["length"].tolist(), length, most_open)
         return g.assign(window=window, offset=offset, open=pd.Series(window, index=g.index).isin(left))
 

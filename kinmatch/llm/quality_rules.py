@@ -4,8 +4,8 @@ Every rule is evaluated once per document. The ledger keeps the measurements and
 failed rule; a policy is a named mask over those bits, so a new version of a policy, or an
 ablation of one of its rules, reads only the ledger and never a text.
 
-Defined results: a null or empty text has no words and fails the rule `few_words`; equal texts
-have equal ledger rows; repeated rows are kept; an empty table gives an empty ledger; other
+Defined results: a null or empty text has no words and fails the rule `few_words`; a very long text
+is measured whole, within one row; equal texts have equal ledger rows; repeated rows are kept; an empty table gives an empty ledger; other
 columns of the input are ignored, whatever their names.
 """
 

@@ -20,6 +20,7 @@ QUERIES = {
 #: The others can't be expressed in SQL: tests hold them against brute force.
 SQL = {
     "op2_rule_ledger": quality_rules.OP2_SQL,
+    "op3_interleave": sharding.OP3_SQL,
     "op8_systematic_mix": mixing.OP8_SQL,
     "op10_budgeted_windows": chat.OP10_SQL,
 }

@@ -10,7 +10,9 @@ of the fractional rank, which the construction fills evenly however large one so
 
 Defined results: a null text has size 1 and checksum 0; null sources are a source of their own;
 ties of the hash go by id, checksum and size, so only rows that are equal in all of them change
-places; rows with equal ids are sharded one by one; an empty table gives an empty result.
+places; rows with equal ids are sharded one by one; ids may be null; of a very long text only size
+and checksum are kept; an empty table gives an empty result; other columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -52,3 +54,21 @@ def interleave(docs: DataFrame, shards: int, seed: str = SEED, id_col: str = "do
 def op3_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = interleave(table(spark, sf_dir, "documents"), 16)
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
+
+
+# DuckDB has no CRC-32, so the SQL builds its table (polynomial 0xEDB88320) and goes over the bytes.
+OP3_SQL = """
+with bytes as (
+  select list(v order by i) as t
+  from (select i, list_reduce([i] || range(8), lambda a, x: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) as v from (select unnest(range(256)) as i))),
+d as (
+  select doc_id, source, strlen(coalesce(text, ''))::bigint + 1 as size, md5('shard-1:' || coalesce(doc_id::varchar, '')) as h,
+         xor(list_reduce([4294967295] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::bigint),
+                         lambda a, b: xor(a >> 8, bytes.t[(xor(a, b) & 255) + 1])), 4294967295)::bigint as text_crc32
+  from documents, bytes),
+r as (select *, row_number() over (partition by source order by h, doc_id nulls first, text_crc32, size) as rank, count(*) over (partition by source) as total from d),
+f as (select *, (rank - 0.5::double) / total as f from r),
+p as (select *, row_number() over (order by f, source nulls last, rank) - 1 as pos, count(*) over () as n from f),
+s as (select *, floor(pos * 16 / n)::int as shard from p)
+select doc_id, size, text_crc32, 'rows' as law, shard, (pos - (shard::bigint * n + 15) // 16)::bigint as slot, null::int as grown_shard, source from s
+"""

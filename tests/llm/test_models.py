@@ -345,6 +345,83 @@ def test_best_fit_is_bounded_and_tight():
     assert packing.best_fit([]) == ([], [], [])
 
 
+def plain_best_fit(lengths, length, most_open):
+    """Every open window looked at for each piece."""
+    opened, out, n = [], [], 0
+    for x in lengths:
+        fits = [w for w in opened if w[1] + x <= length]
+        if fits:
+            w = max(fits, key=lambda w: (w[1], -w[0]))
+        else:
+            if len(opened) >= most_open:
+                opened.remove(max(opened, key=lambda w: (w[1], -w[0])))
+            w = [n, 0]
+            opened.append(w)
+            n += 1
+        out.append((w[0], w[1]))
+        w[1] += x
+        if w[1] == length:
+            opened.remove(w)
+    return out, sorted(w[0] for w in opened)
+
+
+@pytest.mark.parametrize("most_open", [1, 2, 5, 64])
+def test_best_fit_by_hand(most_open):
+    rng = random.Random(most_open)
+    for longest in (30, 100):
+        lengths = [rng.randint(1, longest) for _ in range(700)]
+        window, offset, left = packing.best_fit(lengths, 100, most_open)
+        assert (list(zip(window, offset)), sorted(left)) == plain_best_fit(lengths, 100, most_open)
+
+
+def test_packing_merges_leftovers(spark):
+    """Two steps by hand: each partition on its own, then the open windows of MERGE partitions."""
+    rng = random.Random(8)
+    rows = [(k, 0, n, k * 7, n, 0) for k in range(4000) for n in [rng.randint(1, 900)]]
+    df = spark.createDataFrame(rows, packing.PIECES)
+    got = {r.doc_id: r for r in packing.pack(df, 4000, 1000, 8).collect()}
+    parts = -(-4000 // packing.ROWS)
+    dealt = df.withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens", "turn", F.lit(9)), F.lit(parts))).orderBy("doc_id").collect()
+    by = defaultdict(list)
+    for r in dealt:
+        by[r.part].append(r)
+    left = defaultdict(list)
+    for p, held_ in by.items():
+        placed, opened = plain_best_fit([r.length for r in held_], 1000, 8)
+        fill = Counter()
+        for r, (w, at) in zip(held_, placed):
+            fill[w] += r.length
+            if w not in opened:
+                assert (got[r.doc_id].sequence_id, got[r.doc_id].offset) == (p << 32 | w, at)
+        left[p // packing.MERGE] += [(fill[w], p, w) for w in opened]
+    for m, opened in left.items():
+        opened.sort(key=lambda x: (-x[0], x[1], x[2]))
+        placed, _ = plain_best_fit([x[0] for x in opened], 1000, len(opened) + 1)
+        base = {(p, w): to for (_, p, w), to in zip(opened, placed)}
+        for p, held_ in by.items():
+            if p // packing.MERGE == m:
+                where, still = plain_best_fit([r.length for r in held_], 1000, 8)
+                for r, (w, at) in zip(held_, where):
+                    if w in still:
+                        to, start = base[p, w]
+                        assert (got[r.doc_id].sequence_id, got[r.doc_id].offset) == ((parts + m) * 2**32 + to, start + at)
+
+
+def test_packing_of_odd_rows(spark):
+    rows = [(None, "same words"), (None, "same words"), (None, None), (1, "a"), (1, "a"), (1, "b")] + [(None, "again")] * 3000
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("clash") for c in ("start", "length", "part", "turn", "window", "sequence_id")})
+    got = packing.pack_documents(df.repartition(3))
+    assert got.count() == len(rows)
+    spread = packing.pieces(df, *packing.vocabulary()).where("doc_tokens > 1").groupBy("doc_id", "ids_crc32", "turn").count()
+    assert spread.agg(F.max("count")).first()[0] <= df.rdd.getNumPartitions()
+    for _, held_ in itertools.groupby(sorted((r.sequence_id, r.offset, r.length) for r in got.collect()), key=lambda x: x[0]):
+        at = 0
+        for _, offset, length in held_:
+            assert offset == at
+            at += length
+        assert at <= packing.LENGTH
+
+
 def test_packing_of_an_empty_table(spark):
     assert packing.pack_documents(docs(spark, [])).count() == 0
 

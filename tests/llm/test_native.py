@@ -93,6 +93,27 @@ def test_shards_again_and_repeats(spark):
     assert sorted(sharding.interleave(df, 4).collect()) == sorted(sharding.interleave(df.repartition(5), 4).collect())
 
 
+@pytest.mark.parametrize("n", [1, 7, 200])
+def test_shards_by_hand(spark, n):
+    rows = rows_of(n)
+    by = defaultdict(list)
+    for k, t, source in rows:
+        by[source].append((hashlib.md5(f"shard-1:{k}".encode()).hexdigest(), k))
+    order = sorted(((r + 0.5) / len(v), source is None, source or "", r, k) for source, v in by.items() for r, (_, k) in enumerate(sorted(v)))
+    shard = {x[-1]: pos * 16 // n for pos, x in enumerate(order)}
+    first = {s: min(pos for pos, x in enumerate(order) if shard[x[-1]] == s) for s in shard.values()}
+    slot = {x[-1]: pos - first[shard[x[-1]]] for pos, x in enumerate(order)}
+    for r in sharding.interleave(docs(spark, rows), 16).collect():
+        assert (r.shard, r.slot) == (shard[r.doc_id], slot[r.doc_id])
+
+
+def test_shards_of_odd_rows(spark):
+    rows = [(None, None, None), (None, None, None), (1, "x", "a"), (1, "x", "a"), (1, "y", None), (2, "long " * 200_000, "b")]
+    clash = docs(spark, rows).withColumns({c: F.lit("clash") for c in ("shard", "slot", "size", "_h", "_rank", "_total", "_bin")})
+    got = sharding.interleave(clash, 4).collect()
+    assert sorted(r.shard for r in got) == [0, 0, 1, 2, 2, 3] and sorted(r.size for r in got) == [1, 1, 2, 2, 2, 1_000_001]
+
+
 def water(sizes, weights):
     """Targets by giving and sharing out the excess, step by step."""
     total = 1.5 * sum(sizes.values())
