@@ -1,7 +1,15 @@
 """A corpus pipeline over `documents`: language ID, quality rules, near-duplicates, mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; all but
-the last return the columns of `documents`.
+the last return the columns of `documents`. run() writes each stage's rows and removes the table
+before it once these are written.
+
+Defined results: a document with a null text or one without a letter is rejected by the first
+stage, one of under ten words by the second; very long texts go through whole; rows with equal
+texts or near-equal fingerprints leave the one of the smallest id, rows with equal ids count as one
+document, and rows without an id all stay (near_dup.keep_first); ties are broken as the modules of
+the operators say; null sources are a source of their own in the mix; an empty table gives an empty
+result; columns other than those of `documents` are dropped, whatever their names.
 """
 
 from __future__ import annotations
@@ -10,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinmatch.llm import language, mixing, near_dup, packing, quality_rules
-from kinmatch.llm.common import table, written
+from kinmatch.llm.common import discard, table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -56,7 +64,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        docs = written(out, f"stage-{k}") if k < len(STAGES) - 1 else out
-    return docs
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, written(stage(spark, docs, sf_dir), f"stage-{k}")
+        discard(before)
+    return STAGES[-1][1](spark, docs, sf_dir)
