@@ -1,9 +1,13 @@
 """Candidate pairs by blocking rules with capped keys.
 
-Each side becomes rows of (rule, key, entity_id, counted). A key is live if its counted rows are
-at least one and at most the cap on each capped side; only rows of live keys are joined, so no
-join is wider than the caps allow for counted rows. Frequencies are partial aggregates, keys are
-dropped before the pair join, and ids alone travel through it.
+Each side becomes rows of (rule, key, entity_id, counted), written once, so that the regular
+expressions of all rules run once a side. A key is live if its counted rows are at least one and
+at most the cap on each capped side; only rows of live keys, on both sides, reach the pair join,
+so it is no wider than the caps allow for counted rows, and ids alone travel through it.
+Frequencies are partial aggregates, and what is joined on keys are plain scans, so that AQE can
+split a key that very many rows have. Pairs of ranked rules and of the others are joined apart:
+the best pairs of an entity are then a plain rank filter, which Spark applies to each partition
+before the shuffle.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import text as X
+from ..workspace import written
 
 _SEP = "\x01"
 
@@ -74,20 +79,22 @@ def rule_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     """(rule, source1_entity_id, candidate_entity_id), one row per joined pair of key rows."""
     live_left = frequencies(left).where((F.col("n") >= 1) & (F.col("n") <= _cap("left"))).select("rule", "key")
     live_right = frequencies(right).where((F.col("n") >= 1) & (F.col("n") <= _cap("right"))).select("rule", "key")
-    a = left.select("rule", "key", F.col("entity_id").alias("source1_entity_id"))
-    b = right.where("rule <> 'B14' or nameless").select("rule", "key", F.col("entity_id").alias("candidate_entity_id"))
     live = live_left.join(live_right, ["rule", "key"])
-    return a.join(live, ["rule", "key"], "left_semi").join(b, ["rule", "key"]).select("rule", *S.PAIR)
+    a = left.select("rule", "key", F.col("entity_id").alias("source1_entity_id")).join(live, ["rule", "key"], "left_semi")
+    b = right.where("rule <> 'B14' or nameless").select("rule", "key", F.col("entity_id").alias("candidate_entity_id")).join(live, ["rule", "key"], "left_semi")
+    return a.join(b, ["rule", "key"]).select("rule", *S.PAIR)
 
 
 def _evidence() -> Column:
     return F.element_at(F.create_map(*[x for r in S.RULES if r.evidence for x in (F.lit(r.id), F.lit(r.evidence).cast("long"))]), F.col("rule"))
 
 
+RANKED = [r.id for r in S.RULES if r.evidence]
+
+
 def evidence(pairs: DataFrame) -> DataFrame:
     """Evidence of ranked rules, summed per pair."""
-    ranked = [r.id for r in S.RULES if r.evidence]
-    return pairs.where(F.col("rule").isin(*ranked)).groupBy(*S.PAIR).agg(F.sum(_evidence()).alias("evidence"))
+    return pairs.where(F.col("rule").isin(*RANKED)).groupBy(*S.PAIR).agg(F.sum(_evidence()).alias("evidence"))
 
 
 def best(scored: DataFrame, top: int, score: str = "evidence") -> DataFrame:
@@ -96,17 +103,18 @@ def best(scored: DataFrame, top: int, score: str = "evidence") -> DataFrame:
     return scored.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= top)
 
 
-def chosen(pairs: DataFrame, top: int) -> DataFrame:
-    """Distinct pairs of rule_pairs rows: the best of the ranked rules, and all of the others.
+def key_tables(s1: DataFrame, target: DataFrame, settings: S.Settings = S.DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """The key rows of both sides, written."""
+    return written(keyed(s1, settings), "keys-left"), written(keyed(target, settings), "keys-right")
+
 
-    One aggregate tells both kinds of rules apart, so the pair join runs once."""
-    rule = F.col("rule")
-    ranked = rule.isin(*[r.id for r in S.RULES if r.evidence])
-    per_pair = pairs.groupBy(*S.PAIR).agg(F.sum(F.when(ranked, _evidence())).alias("evidence"), F.bool_or(~ranked).alias("extra"))
-    w = Window.partitionBy("source1_entity_id").orderBy(F.col("evidence").desc_nulls_last(), "candidate_entity_id")
-    kept = F.col("extra") | (F.col("evidence").isNotNull() & (F.col("rn") <= top))
-    return per_pair.withColumn("rn", F.row_number().over(w)).where(kept).select(*S.PAIR)
+def chosen(left: DataFrame, right: DataFrame, top: int) -> DataFrame:
+    """Distinct pairs of two key tables: the best of the ranked rules, and all of the others."""
+    ranked = F.col("rule").isin(*RANKED)
+    first = best(evidence(rule_pairs(left.where(ranked), right.where(ranked))), top).select(*S.PAIR)
+    extra = rule_pairs(left.where(~ranked), right.where(~ranked)).select(*S.PAIR)
+    return first.union(extra).distinct()
 
 
 def candidates(s1: DataFrame, target: DataFrame, settings: S.Settings = S.DEFAULT) -> DataFrame:
-    return chosen(rule_pairs(keyed(s1, settings), keyed(target, settings)), settings.top)
+    return chosen(*key_tables(s1, target, settings), settings.top)

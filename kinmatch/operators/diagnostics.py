@@ -29,7 +29,7 @@ def flagged(truth: DataFrame, s1: DataFrame, target: DataFrame, settings: S.Sett
     found = shared.groupBy(*S.PAIR).agg(F.collect_set("rule").alias("rules"))
 
     capped = S.Settings(rules=("B15", "B16"), pair_tokens=settings.pair_tokens)
-    pairs = blocking.rule_pairs(blocking.keyed(s1, capped), blocking.keyed(target, capped))
+    pairs = blocking.rule_pairs(*blocking.key_tables(s1, target, capped))
     later = pairs.join(truth.distinct(), list(S.PAIR), "left_semi").groupBy(*S.PAIR).agg(F.collect_set("rule").alias("later"))
 
     one, two = X.first_number(F.col("aa")), X.first_number(F.col("ba"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 
+# The weight of each family of keys.
 WEIGHTS = {"exact_name": 8, "exact_addr": 7, "combo": 6, "name_prefix": 5, "name_tok": 4, "addr_tok": 3, "ngram": 2}
 
 
@@ -48,13 +49,18 @@ def cut(index: DataFrame, order: list[str], most: int) -> DataFrame:
     return index.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= most).drop("rn")
 
 
+def _hashed(index: DataFrame, id_: str, *carry: str) -> DataFrame:
+    """Postings with 128 bits of hash in place of the three strings that they are joined on."""
+    on = ("family", "country", "key")
+    return index.select(F.col("entity_id").alias(id_), F.xxhash64(*on).alias("h1"), F.xxhash64(F.lit(1), *on).alias("h2"), *carry)
+
+
 def scored(s1: DataFrame, target: DataFrame, order: list[str], most: int = S.DEFAULT.max_postings) -> DataFrame:
     """Pairs with the sum of the weights of their shared keys, and the target's order columns."""
-    on = ["family", "country", "key"]
-    index = cut(postings(target, *order), order, most).withColumnRenamed("entity_id", "candidate_entity_id")
     weight = F.element_at(F.create_map(*[x for k, v in WEIGHTS.items() for x in (F.lit(k), F.lit(v).cast("long"))]), F.col("family"))
-    joined = postings(s1).withColumnRenamed("entity_id", "source1_entity_id").join(index, on)
-    return joined.groupBy(*S.PAIR, *order).agg(F.sum(weight).alias("score"))
+    index = _hashed(cut(postings(target, *order), order, most), "candidate_entity_id", F.struct(*order).alias("o"), weight.alias("w"))
+    joined = _hashed(postings(s1), "source1_entity_id").join(index, ["h1", "h2"])
+    return joined.groupBy(*S.PAIR).agg(F.sum("w").alias("score"), F.min("o").alias("o")).select(*S.PAIR, "o.*", "score")
 
 
 def candidates(s1: DataFrame, target: DataFrame, order: list[str], settings: S.Settings = S.DEFAULT) -> DataFrame:

@@ -56,13 +56,17 @@ class Frames:
         b = self.entities.where("src <> 0").select("head", F.col("entity_id").alias("candidate_entity_id"))
         return a.join(b, "head").select(*S.PAIR)
 
+    @cached_property
+    def keys(self) -> tuple[DataFrame, DataFrame]:
+        return blocking.key_tables(self.s1, self.target, self.settings)
+
     @cached_property
     def pairs(self) -> DataFrame:
-        return blocking.rule_pairs(blocking.keyed(self.s1, self.settings), blocking.keyed(self.target, self.settings))
+        return blocking.rule_pairs(*self.keys)
 
     @cached_property
     def candidates(self) -> DataFrame:
-        return blocking.candidates(self.s1, self.target, self.settings)
+        return blocking.chosen(*self.keys, self.settings.top)
 
     @cached_property
     def labelled(self) -> DataFrame:

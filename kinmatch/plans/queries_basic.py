@@ -10,13 +10,13 @@ from ..functions import text as X
 from ..operators import labeling
 from ..sources import delimited
 from .registry import query
-from .sql import _in, _norm, q
+from .sql import _in, plain_words, q, replaced
 
 # --- scalar functions -----------------------------------------------------------------------
 
 query("f01_ascii_normalise", q("select entity_id, name_norm, address_norm from nrm"))(lambda f: X.normalised(f.entities).select("entity_id", "name_norm", "address_norm"))
-query("f02_name_abbreviations", q(f"select entity_id, {_norm('business_name', S.NAME_ABBREVIATIONS)} as name_norm from ent"))(lambda f: f.entities.select("entity_id", X.name_norm(F.col("business_name")).alias("name_norm")))
-query("f03_address_abbreviations", q(f"select entity_id, {_norm('business_address', S.ADDRESS_ABBREVIATIONS)} as address_norm from ent"))(
+query("f02_name_abbreviations", q(f"select entity_id, {replaced(plain_words('business_name'), S.NAME_ABBREVIATIONS)} as name_norm from ent"))(lambda f: f.entities.select("entity_id", X.name_norm(F.col("business_name")).alias("name_norm")))
+query("f03_address_abbreviations", q(f"select entity_id, {replaced(plain_words('business_address'), S.ADDRESS_ABBREVIATIONS)} as address_norm from ent"))(
     lambda f: f.entities.select("entity_id", X.address_norm(F.col("business_address")).alias("address_norm"))
 )
 query(
@@ -26,16 +26,14 @@ query(
 _uni = lambda c: f"trim(regexp_replace(regexp_replace(lower(nfc_normalize(coalesce({c}, ''))), '[^\\p{{L}}\\p{{N}}\\p{{M}}_\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 
-def _abbr(x: str, words: dict[str, str]) -> str:
-    for a, b in words.items():
-        x = f"regexp_replace({x}, '\\b{a}\\b', '{b}', 'g')"
-    return x
+def _words(c: str) -> str:
+    return f"string_split({_uni(c)}, ' ')"
 
 
 query(
     "f05_preprocess_unicode",
     q(
-        f"select entity_id, business_name, business_address, country, {_abbr(_uni('business_name'), S.NAME_ABBREVIATIONS)} as name_norm, {_abbr(_uni('business_address'), S.UNICODE_ADDRESS_ABBREVIATIONS)} as address_norm, {_uni('country')} as country_norm from ent"
+        f"select entity_id, business_name, business_address, country, {replaced(_words('business_name'), S.NAME_ABBREVIATIONS)} as name_norm, {replaced(_words('business_address'), S.UNICODE_ADDRESS_ABBREVIATIONS)} as address_norm, {_uni('country')} as country_norm from ent"
     ),
 )(lambda f: X.normalised(f.entities, "unicode").select("entity_id", "business_name", "business_address", "country", "name_norm", "address_norm", "country_norm"))
 query("f06_country_normalise", q("select entity_id, lower(trim(country)) as country_norm from ent"))(lambda f: f.entities.select("entity_id", X.country_norm(F.col("country")).alias("country_norm")))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import text as X
 from ..operators import blocking, diagnostics, features, labeling, postings
+from ..workspace import folder
 from .registry import query
 from .sql import ADDRESS_PAIR_STOPS_SQL, HYDRATED, all_rules, over, q, rule_ctes
 
@@ -17,7 +18,7 @@ PAIRS = "source1_entity_id, candidate_entity_id"
 
 def _only(f, *rules, **settings):
     s = replace(S.DEFAULT, rules=tuple(rules), **settings)
-    return blocking.rule_pairs(blocking.keyed(f.s1, s), blocking.keyed(f.target, s)).select(*S.PAIR)
+    return blocking.rule_pairs(*blocking.key_tables(f.s1, f.target, s)).select(*S.PAIR)
 
 
 # --- joins -------------------------------------------------------------------------------
@@ -104,15 +105,11 @@ query("b19_bounded_token_pairs", q(f"select distinct {PAIRS} from b16_pairs", ru
 
 @query("b20_precomputed_keys", over("candidates", f"select {PAIRS} from candidates"))
 def _precomputed(f):
-    """The same candidates over key tables that were written before."""
-    from ..workspace import folder
-
-    sides = []
-    for name, df in (("left", f.s1), ("right", f.target)):
-        path = folder(f.spark, f"keys-{name}")
+    """The same candidates over key tables that an earlier run left, read by their paths."""
+    paths = [folder(f.spark, name) for name in ("left", "right")]
+    for path, df in zip(paths, (f.s1, f.target)):
         blocking.keyed(df).write.parquet(path)
-        sides.append(f.spark.read.parquet(path))
-    return blocking.chosen(blocking.rule_pairs(*sides), f.settings.top)
+    return blocking.chosen(*[f.spark.read.parquet(path) for path in paths], f.settings.top)
 
 
 _KEYED = [r for r in S.RULES if r.evidence]

@@ -33,6 +33,7 @@ class Rule:
     evidence: int | None
 
 
+# Caps and evidence of the rules.
 RULES = [
     Rule("B01", 300, 300, 10),
     Rule("B02", 80, 80, 9),

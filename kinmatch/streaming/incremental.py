@@ -20,7 +20,7 @@ def new_candidates(left_keys: DataFrame, target_counts: DataFrame, batch: DataFr
     keys = blocking.keyed(X.normalised(batch), settings)
     counts = target_counts.select("rule", "key", "n").union(blocking.frequencies(keys)).groupBy("rule", "key").agg(F.sum("n").alias("n"))
     live = counts.where((F.col("n") >= 1) & (F.col("n") <= blocking._cap("right"))).select("rule", "key")
-    return blocking.chosen(blocking.rule_pairs(left_keys, keys.join(live, ["rule", "key"], "left_semi")), settings.top)
+    return blocking.chosen(left_keys, keys.join(live, ["rule", "key"], "left_semi"), settings.top)
 
 
 def start(stream: DataFrame, left_keys: DataFrame, target_counts: DataFrame, out: str, checkpoint: str, settings: S.Settings = S.DEFAULT):
