@@ -29,14 +29,17 @@ def train(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def infer(spark: SparkSession, a: argparse.Namespace) -> int:
-    """Refuses to start without a finished matcher; finished stages are not run again."""
-    if not pipeline.finished(spark, f"{a.model}/matcher/settings"):
-        print("no finished matcher", file=sys.stderr)
+    """Refuses to start without its inputs and a finished matcher, or in a folder of a run with
+    other settings; finished stages are not run again."""
+    try:
+        pipeline.preflight(spark, [f"{a.data}/test_source{k}.tsv" for k in (1, 2, 3)], [f"{a.model}/matcher/settings"])
+    except FileNotFoundError as e:
+        print(e, file=sys.stderr)
         return 1
     s1, target = _sources(spark, a.data, "test")
     fitted, note = model.load(spark, f"{a.model}/matcher")
     settings = S.Settings(threshold=a.threshold if a.threshold is not None else note["threshold"])
-    selected = pipeline.link(spark, s1, target, lambda df: model.predict(df, fitted), a.out, settings)
+    selected = pipeline.link(spark, s1, target, model.scorer(fitted), a.out, settings)
     print("selected", selected.count())
     return 0
 

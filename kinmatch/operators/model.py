@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import FEATURES
 from ..workspace import folder
-from . import evaluate, labeling
+from . import evaluate, features, labeling
 
 TREES = 350
 
@@ -48,6 +49,25 @@ def predict(rows: DataFrame, model: PipelineModel) -> DataFrame:
     return out.drop("features", "rawPrediction", "probability", "prediction")
 
 
+Scorer = Callable[[DataFrame], DataFrame]
+
+
+def scorer(model: PipelineModel) -> Scorer:
+    return lambda rows: predict(rows, model)
+
+
+def score_candidates(pairs: DataFrame, s1: DataFrame, target: DataFrame, by: Scorer) -> DataFrame:
+    """Candidate pairs with their features and score, by a fitted model or another scorer."""
+    return by(features.make_features(pairs, s1, target))
+
+
+def score_entities(pairs: DataFrame, ids: DataFrame, s1: DataFrame, target: DataFrame, by: Scorer, threshold: float) -> DataFrame:
+    """The selected pairs of some source entities (`ids` has one column, entity_id): their
+    candidates alone are hydrated and scored."""
+    own = pairs.join(ids.select(F.col("entity_id").alias("source1_entity_id")).distinct(), "source1_entity_id", "left_semi")
+    return score_candidates(own.select("source1_entity_id", "candidate_entity_id"), s1, target, by).where(F.col("score") >= threshold)
+
+
 def train_validate(rows: DataFrame, thresholds, trees: int = TREES, folds: int = 5, negatives: int = 20, refit: bool = True):
     """Splits by source entity, fits, tunes the threshold and, if asked, fits again on all rows.
     Returns the model, the threshold and the measures of each threshold on the held-out part."""

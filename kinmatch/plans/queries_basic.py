@@ -167,19 +167,28 @@ query("a10_missing_counts", q("select c as column, n as rows, m as missing from
     lambda f: delimited.missing_counts(f.entities.select("entity_id", "business_name", "business_address", "country"))
 )
 query("a16_duplicates", q("select name_norm, count(*) as n from nrm group by 1 having count(*) > 1"))(lambda f: X.normalised(f.entities).groupBy("name_norm").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-query("q02_source_faults", q("select 'repeated ids' as fault, count(*) as n from (select entity_id from s1 group by 1 having count(*) > 1) having count(*) > 0 union all select 'wrong prefix', count(*) from s1 where not starts_with(entity_id, 'S1-') having count(*) > 0"))(
-    lambda f: delimited.source_faults(f.s1, "S1-")
-)
 
 # --- scans over tables and views --------------------------------------------------------------
 
 query("s07_table_scan", "select doc_id, lang, n_chars from documents where n_chars > 500")(lambda f: f.spark.read.parquet(f"{f.dir}/documents.parquet").where("n_chars > 500").select("doc_id", "lang", "n_chars"))
 
 
-@query("s08_catalog_scan", "select 'documents' as name, c as column from (values ('doc_id'), ('text'), ('lang'), ('source'), ('n_chars')) v(c)")
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+@query("s08_catalog_scan", f"select table_name as name, column_name as column from information_schema.columns where table_name in {_in(TABLES)}")
 def _catalog(f):
-    df = f.spark.read.parquet(f"{f.dir}/documents.parquet")
-    return f.spark.createDataFrame([("documents", c) for c in df.columns], "name string, column string")
+    """Tables and columns as the session's catalog lists them, once they are registered."""
+    for t in TABLES:
+        f.spark.read.parquet(f"{f.dir}/{t}.parquet").createOrReplaceTempView(f"kinmatch_{t}")
+    catalog = f.spark.catalog
+    try:
+        names = [t.name for t in catalog.listTables() if t.isTemporary and t.name.startswith("kinmatch_")]
+        rows = [(n.removeprefix("kinmatch_"), c.name) for n in names for c in catalog.listColumns(n)]
+    finally:
+        for t in TABLES:
+            catalog.dropTempView(f"kinmatch_{t}")
+    return f.spark.createDataFrame(rows, "name string, column string")
 
 
 @query("s09_registered_frame", q("select entity_id from nrm join (values ('S1-3'), ('S2-4'), ('S3-5')) v(id) on id = entity_id"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import text as X
 from ..sources import delimited, validate
-from ..workspace import folder
+from ..workspace import folder, written
 from . import pipeline
 from .registry import query
 from .sql import over, q
@@ -153,13 +153,98 @@ query(
 )(lambda f: validate.summary(_found("missing row")(f)))
 
 
-@query("q03_validate_outputs")
+def _text(f, name: str, header: str, lines: DataFrame) -> str:
+    """A small file of lines under a header, in one part so that the header is first."""
+    path = folder(f.spark, name)
+    f.spark.createDataFrame([(header,)], "value string").union(lines).coalesce(1).write.text(path)
+    return path
+
+
+_Q03 = """
+select 'malformed row' as finding, line as id from bad where doc_id % 12 = 3
+union all select 'repeated row', entity_id from bad where doc_id = 21
+union all select 'repeated id in a list', entity_id from bad where doc_id % 12 = 0
+union all select 'self match', entity_id from bad where doc_id % 12 = 6
+union all select 'wrong prefix', entity_id from bad where doc_id % 12 = 9
+union all select distinct 'unknown id', entity_id from (select entity_id, unnest(string_split(split_part(line, chr(9), 2), ',')) as o from bad where doc_id % 12 <> 3) where o not in (select entity_id from target)
+union all select 'missing row', entity_id from s1 where entity_id not in (select entity_id from bad where doc_id % 12 <> 3)
+union all select 'extra row', 'S1-x'
+union all select 'comma-separated header', 'candidate_entity_ids'
+union all select 'match outside candidates', entity_id from bad where doc_id % 12 in (6, 9)
+"""
+
+
+@query("q03_validate_outputs", q(_Q03, _BAD))
 def _validate(f):
-    matching, candidate = _tsv(f, _matches(f), "q03m"), _tsv(f, delimited.id_lists(f.s1, f.candidates, "candidate_entity_ids"), "q03c")
-    errors, warnings = validate.validate(f.spark, matching, candidate, f.s1.select(F.col("entity_id").alias("id")), f.target.select(F.col("entity_id").alias("id")))
+    """A result file with faults of each kind, and a candidate file with a wrong header."""
+    lines = _bad_lines(f).select("value")
+    matching = _text(f, "q03m", "\t".join(S.MATCHES), lines)
+    candidate = _text(f, "q03c", ",".join(S.CANDIDATES), f.s1.select(F.concat("entity_id", F.lit("\tS2-1"))))
+    known = f.target.select(F.col("entity_id").alias("id"))
+    errors, warnings = validate.validate(f.spark, matching, candidate, f.s1.select(F.col("entity_id").alias("id")), known)
     return errors.union(warnings)
 
 
+_HEADERS = {"empty": "", "comma": ",".join(S.MATCHES), "other": "a\tb", "good": "Source1_Entity_ID\tMATCHED_ENTITY_IDS"}
+
+
+@query("q04_header_checks", "select * from (values ('empty', 'empty file'), ('comma', 'comma-separated header'), ('other', 'unexpected header'), ('good', null)) v(file, fault)")
+def _headers(f):
+    first = {name: validate.first_line(f.spark, _text(f, f"q04-{name}", header, f.s1.select("entity_id"))) for name, header in _HEADERS.items()}
+    return f.spark.createDataFrame([(name, validate.header_fault(line, S.MATCHES)) for name, line in first.items()], "file string, fault string")
+
+
+@query(
+    "q01_inspect_files",
+    q(
+        "select 'source' || (src + 1) as file, c as column, count(*) as rows, count(*) filter (coalesce(case c when 'entity_id' then entity_id when 'business_name' then business_name when 'business_address' then 'x' else country end, '') = '') as missing "
+        "from ent, (values ('entity_id'), ('business_name'), ('business_address'), ('country')) v(c) group by src, c"
+    ),
+)
+def _inspect(f):
+    return delimited.inspect_files(f.spark, {f"source{k + 1}": _tsv(f, _raw(f, k).withColumn("business_address", F.lit("x")), f"q01-{k}") for k in range(3)})
+
+
+query("q02_source_faults", q("select 'repeated ids' as fault, count(*) as n from s1 where doc_id % 5 = 1 union all select 'wrong prefix', count(*) from ent where src = 1 and doc_id % 7 = 0"))(
+    lambda f: delimited.source_faults(_raw(f, 0).union(f.entities.where("src = 0 and doc_id % 5 = 1").select(*S.SOURCE.names)).union(f.entities.where("src = 1 and doc_id % 7 = 0").select(*S.SOURCE.names)), "S1-")
+)
+
+
+@query("k11_package", over("scored", "select 'good' as result, null as fault union all select 'faulty', 'missing row'"))
+def _package(f):
+    """Two results, one of which lacks rows: the packager's validator lets the other pass."""
+    scored = written(f.scored, "scored")
+    required, rows = f.s1.select(F.col("entity_id").alias("id")), []
+    candidate = _tsv(f, delimited.id_lists(f.s1, scored.select(*S.PAIR), "candidate_entity_ids"), "k11c")
+    lists = delimited.id_lists(f.s1, scored.where("score >= 0.5"), "matched_entity_ids")
+    for name, result in (("good", lists), ("faulty", lists.where("source1_entity_id < 'S1-5'"))):
+        try:
+            pipeline.export_package(f.spark, folder(f.spark, f"k11-{name}") + ".zip", _tsv(f, result, "k11m"), candidate, required)
+            rows.append((name, None))
+        except pipeline.Refused as e:
+            rows.append((name, str(e).split(": ")[1]))
+    return f.spark.createDataFrame(rows, "result string, fault string")
+
+
+@query("k04_dropped_tables", "select * from (values ('kept', true), ('dropped', false)) v(name, there)")
+def _dropped(f):
+    paths = {name: folder(f.spark, name) for name in ("kept", "dropped")}
+    for path in paths.values():
+        f.s1.select("entity_id").write.parquet(path)
+    pipeline.drop(f.spark, paths["dropped"], folder(f.spark, "never"))
+    return f.spark.createDataFrame([(name, pipeline.finished(f.spark, path)) for name, path in paths.items()], "name string, there boolean")
+
+
+@query("r03_resume_states", "select * from (values (0, 'new', 'candidates'), (1, 'resumable', 'scored'), (2, 'finished', null)) v(stages, state, ahead)")
+def _states(f):
+    out, rows = folder(f.spark, "r03"), []
+    for k in range(3):
+        rows.append((k, *pipeline.resume_state(f.spark, out, pipeline.LINK_STAGES)))
+        if k < 2:
+            pipeline.stage(f.spark, f"{out}/{pipeline.LINK_STAGES[k]}", lambda: f.s1.select("entity_id"))
+    return f.spark.createDataFrame(rows, "stages int, state string, ahead string")
+
+
 @query("r02_resumed_run", over("scored", "select source1_entity_id, candidate_entity_id, score from scored where score >= 0.5"))
 def _resumed(f):
     """Half of the buckets, a stop, and a second run that does the rest."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.similarity import FEATURES
 from ..operators import evaluate, features, labeling, model
+from ..workspace import written
 from .registry import query
 from .sql import over
 
@@ -47,10 +48,9 @@ query("t01_parse_truth", over("candidates", f"select distinct {PAIRS} from truth
 )
 query("t02_label_candidates", over("labelled", f"select {PAIRS}, label from labelled where label = 1"))(lambda f: f.labelled.where("label = 1").select(*S.PAIR, "label"))
 _NEG = "select {p}, label from (select *, row_number() over (partition by source1_entity_id, label order by {o}) as rn from labelled) where label = 1 or rn <= {n}"
-query("t03_balanced_candidates", over("labelled", _NEG.format(p=PAIRS, o="candidate_entity_id", n=3)))(lambda f: labeling.first_negatives(f.labelled, 3).select(*S.PAIR, "label"))
+query("t03_balanced_candidates", over("labelled", _NEG.format(p=PAIRS, o="candidate_entity_id", n=20)))(lambda f: labeling.first_negatives(f.labelled, 20).select(*S.PAIR, "label"))
 query("n03_negative_sampling", over("labelled", _NEG.format(p=PAIRS, o="md5(candidate_entity_id)", n=15)))(lambda f: labeling.with_negatives(f.labelled, 15).select(*S.PAIR, "label"))
-query("n03_validation_sampling", over("labelled", _NEG.format(p=PAIRS, o="md5(candidate_entity_id)", n=2)))(lambda f: labeling.with_negatives(f.labelled, 2).select(*S.PAIR, "label"))
-query("n03_validation_25", over("labelled", _NEG.format(p=PAIRS, o="md5(candidate_entity_id)", n=25)))(lambda f: labeling.with_negatives(f.labelled, S.DEFAULT.valid_negatives).select(*S.PAIR, "label"))
+query("n03_validation_sampling", over("labelled", _NEG.format(p=PAIRS, o="md5(candidate_entity_id)", n=25)))(lambda f: labeling.with_negatives(f.labelled, S.DEFAULT.valid_negatives).select(*S.PAIR, "label"))
 query("n08_first_negatives", over("labelled", _NEG.format(p=PAIRS, o="candidate_entity_id", n=20)))(lambda f: labeling.first_negatives(f.labelled, 20).select(*S.PAIR, "label"))
 query("t04_entity_split", over("labelled", f"select {PAIRS}, label, ('0x' || substr(md5(source1_entity_id), 1, 7))::bigint % 5 = 0 as held_out from labelled"))(
     lambda f: f.labelled.select(*S.PAIR, "label", (labeling.bucket("source1_entity_id", 5) == 0).alias("held_out"))
@@ -118,8 +118,32 @@ query(
 query("a11_any_per_entity", over("scored", "select source1_entity_id, bool_or(score >= 0.5) as matched, bool_or(label = 1) as true_match from scored group by 1"))(
     lambda f: f.scored.groupBy("source1_entity_id").agg(F.bool_or(F.col("score") >= 0.5).alias("matched"), F.bool_or(F.col("label") == 1).alias("true_match"))
 )
-query("t16_selection_guard", over("scored", "select count(*) filter (score >= 0.5) as selected, count(*) filter (score >= 0.5) > 0 as exportable from scored"))(
-    lambda f: f.scored.agg(F.count_if(F.col("score") >= 0.5).alias("selected"), (F.count_if(F.col("score") >= 0.5) > 0).alias("exportable"))
+_GUARDED = (0.3, 0.5, 0.9, 1.5)
+
+
+@query("t16_selection_guard", over("scored", f"select t as threshold, e as emptied, e and (select count(*) from scored where score >= t) > 0 as refused from (values {', '.join(f'({t}::double)' for t in _GUARDED)}) v(t), (values (true), (false)) w(e)"))
+def _guarded(f):
+    """Exports with and without their selection: the guard refuses an empty one if scores qualify."""
+    scored, rows = written(f.scored, "scored"), []
+    for t in _GUARDED:
+        for emptied in (True, False):
+            selected = scored.where(F.lit(False) if emptied else F.col("score") >= t)
+            try:
+                evaluate.guard(selected, scored, t)
+                rows.append((t, emptied, False))
+            except evaluate.EmptySelection:
+                rows.append((t, emptied, True))
+    return f.spark.createDataFrame(rows, "threshold double, emptied boolean, refused boolean")
+
+
+def _by_rule(rows):
+    """A scorer that any engine gives alike, in the place of a fitted model."""
+    return rows.withColumn("score", F.round((F.col("name_char_jaccard") + F.col("address_char_jaccard")) / 2, 6))
+
+
+query("t08_predict_candidates", over("scored", f"select {PAIRS}, score from scored"))(lambda f: model.score_candidates(f.candidates, f.s1, f.target, _by_rule).select(*S.PAIR, "score"))
+query("t09_score_entities", over("scored", f"select {PAIRS}, score from scored where score >= 0.4 and source1_entity_id in (select entity_id from s1 order by md5(entity_id), entity_id limit 200)"))(
+    lambda f: model.score_entities(f.candidates, labeling.sample(f.s1, 200).select("entity_id"), f.s1, f.target, _by_rule, 0.4).select(*S.PAIR, "score")
 )
 
 # --- the matcher: boosted trees have no SQL, so rows alone are compared -----------------------

@@ -10,6 +10,7 @@ from .fixtures import Frames
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
+_functions: dict[str, Callable[[Frames], DataFrame]] = {}
 _sql: dict[str, str] = {}
 
 
@@ -22,6 +23,7 @@ def query(name: str, sql: str | None = None):
         run = lambda spark, sf_dir: f(Frames(spark, sf_dir))
         run.__name__ = name
         _queries[name] = run
+        _functions[name] = f
         if sql:
             _sql[name] = sql
         return f
@@ -38,6 +40,12 @@ def queries() -> dict[str, Query]:
     return dict(_queries)
 
 
+def functions() -> dict[str, Callable[[Frames], DataFrame]]:
+    """The queries as functions of Frames, so that several can share what these hold."""
+    _load()
+    return dict(_functions)
+
+
 def oracle_sql() -> dict[str, str]:
     _load()
     return dict(_sql)

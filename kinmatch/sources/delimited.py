@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,12 @@ def missing_counts(df: DataFrame) -> DataFrame:
     return sums.select(F.explode(F.array(*parts)).alias("x")).select("x.*")
 
 
+def inspect_files(spark: SparkSession, files: dict[str, str]) -> DataFrame:
+    """(file, column, rows, missing) of several delimited files, by the names given to them."""
+    found = [missing_counts(read_tsv(spark, path)).select(F.lit(name).alias("file"), "column", "rows", "missing") for name, path in files.items()]
+    return reduce(DataFrame.union, found)
+
+
 def id_lists(s1: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
     """One row per source entity with its sorted distinct ids, joined by commas, '' for none."""
     ids = F.array_join(F.array_sort(F.collect_set("candidate_entity_id")), ",")

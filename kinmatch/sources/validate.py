@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,30 +31,43 @@ def header_fault(first: str | None, columns: tuple[str, str]) -> str | None:
     return None
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    lines = spark.read.text(path).limit(1).collect()
+    return lines[0][0] if lines else None
+
+
 def _is_header(columns: tuple[str, str]):
     return F.lower(F.col("value")).isin("\t".join(columns), ",".join(columns))
 
 
 def findings(rows: DataFrame, required: DataFrame, columns: tuple[str, str], known: DataFrame | None = None) -> DataFrame:
-    """(finding, id) of parsed rows. `required` and `known` have one column id."""
+    """(finding, id) of parsed rows. `required` and `known` have one column id.
+
+    Rows are read once for all findings but the unknown ids: flags are added up for each id, and
+    one outer join with the required ids tells the missing and the extra ones."""
     rows = rows.where(~_is_header(columns))
-    good = rows.where("not malformed")
-    each = good.select("id", F.explode("ids").alias("other"))
-    found = [
-        rows.where("malformed").select(F.lit("malformed row").alias("finding"), F.col("value").alias("id")),
-        good.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.lit("repeated row"), "id"),
-        good.where(F.size("ids") != F.size(F.array_distinct("ids"))).select(F.lit("repeated id in a list"), "id"),
-        each.where(F.col("other").startswith("S1-")).select(F.lit("self match"), "id"),
-        each.where(~F.col("other").startswith("S1-") & ~F.col("other").startswith("S2-") & ~F.col("other").startswith("S3-")).select(F.lit("wrong prefix"), "id"),
-        required.join(good.select("id"), "id", "left_anti").select(F.lit("missing row"), "id"),
-        good.select("id").distinct().join(required, "id", "left_anti").select(F.lit("extra row"), "id"),
-    ]
+    prefixed = lambda x, *ps: reduce(lambda a, b: a | b, [x.startswith(p) for p in ps])
+    flags = {
+        "malformed row": F.bool_or("malformed"),
+        "repeated row": F.count(F.lit(1)) > 1,
+        "repeated id in a list": F.bool_or(F.size("ids") != F.size(F.array_distinct("ids"))),
+        "self match": F.bool_or(F.exists("ids", lambda x: prefixed(x, "S1-"))),
+        "wrong prefix": F.bool_or(F.exists("ids", lambda x: ~prefixed(x, "S1-", "S2-", "S3-"))),
+    }
+    bad = F.col("malformed")
+    per_id = rows.groupBy(bad.alias("bad"), F.when(bad, F.col("value")).otherwise(F.col("id")).alias("id")).agg(*[f.alias(f"f{k}") for k, f in enumerate(flags.values())])
+    needed = required.select(F.col("id").alias("needed")).distinct()
+    both = per_id.join(needed, F.when(~F.col("bad"), F.col("id")) == F.col("needed"), "full_outer")
+    good = ~F.coalesce("bad", F.lit(False))
+    said = [F.when(F.col("f0"), F.lit("malformed row"))]
+    said += [F.when(good & F.col(f"f{k}"), F.lit(name)) for k, name in enumerate(flags) if k]
+    said += [F.when(F.col("id").isNull(), F.lit("missing row")), F.when(good & F.col("needed").isNull(), F.lit("extra row"))]
+    out = both.select(F.explode(F.array_compact(F.array(*said))).alias("finding"), F.coalesce("id", "needed").alias("id"))
     if known is not None:
-        found.append(each.join(known.withColumnRenamed("id", "other"), "other", "left_anti").select(F.lit("unknown id"), "id"))
-    out = found[0]
-    for x in found[1:]:
-        out = out.union(x)
-    return out.distinct()
+        each = rows.where(~bad).select("id", F.explode("ids").alias("other"))
+        unknown = each.join(known.select(F.col("id").alias("other")), "other", "left_anti")
+        out = out.union(unknown.select(F.lit("unknown id"), "id").distinct())
+    return out
 
 
 def outside_candidates(matches: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -69,14 +84,14 @@ def summary(found: DataFrame) -> DataFrame:
 
 
 def validate(spark: SparkSession, matching: str, candidate: str, required: DataFrame, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(errors, warnings) of the two result files."""
+    """(errors, warnings) of the two result files. A fault of a header is named by the column
+    that the file should have."""
     from ..schema import CANDIDATES, MATCHES
 
     m, c = parsed(spark, matching), parsed(spark, candidate)
     errors = findings(m, required, MATCHES, known).union(findings(c, required, CANDIDATES, known))
     for path, columns in ((matching, MATCHES), (candidate, CANDIDATES)):
-        lines = spark.read.text(path).limit(1).collect()
-        fault = header_fault(lines[0][0] if lines else None, columns)
+        fault = header_fault(first_line(spark, path), columns)
         if fault:
-            errors = errors.union(spark.createDataFrame([(fault, path)], "finding string, id string"))
+            errors = errors.union(spark.createDataFrame([(fault, columns[1])], "finding string, id string"))
     return errors, outside_candidates(m.where(~_is_header(MATCHES)), c.where(~_is_header(CANDIDATES)))

@@ -1,9 +1,12 @@
 """Labels, thresholds, files, checks and resumed runs."""
 
+import zipfile
+
 import pytest
 from pyspark.sql import functions as F
 
 from kinmatch import schema as S
+from kinmatch import workspace
 from kinmatch.operators import evaluate, features, labeling, model
 from kinmatch.plans import pipeline
 from kinmatch.plans.fixtures import Frames
@@ -113,9 +116,99 @@ def test_model_round_trip(spark, tmp_path):
     assert sorted(a) == sorted(model.predict(rows, loaded).select("score").collect())
 
 
-def test_package(tmp_path):
+def test_package(spark, tmp_path):
     with pytest.raises(ValueError):
         pipeline.package(str(tmp_path / "x.zip"), {"a": "1"}, 2)
     pipeline.package(str(tmp_path / "x.zip"), {"a": "1"}, 0)
     pipeline.write_atomically(str(tmp_path / "t"), "hello")
     assert (tmp_path / "x.zip").exists() and (tmp_path / "t").read_text() == "hello"
+
+
+def test_export_package(spark, tmp_path):
+    ids = [f"S1-{k}" for k in range(4)]
+    required = spark.createDataFrame([(x,) for x in ids], "id string")
+
+    def file(name, column, lists):
+        path = str(tmp_path / name)
+        delimited.write_tsv(spark.createDataFrame(lists, f"source1_entity_id string, {column} string"), path)
+        return path
+
+    candidate = file("candidate_pairs", "candidate_entity_ids", [(x, "S2-1,S3-2") for x in ids])
+    good = file("matching_results", "matched_entity_ids", [(x, "S2-1") for x in ids])
+    names = pipeline.export_package(spark, str(tmp_path / "out.zip"), good, candidate, required)
+    with zipfile.ZipFile(tmp_path / "out.zip") as z:
+        assert z.namelist() == names and z.testzip() is None
+        lines = [x for n in names if n.startswith("matching") for x in z.read(n).decode().splitlines()]
+    assert {x for x in lines if x.startswith("S1-")} == {f"{x}\tS2-1" for x in ids}
+    bad = file("bad", "matched_entity_ids", [(x, "S1-1") for x in ids[:3]])
+    with pytest.raises(pipeline.Refused, match="self match"):
+        pipeline.export_package(spark, str(tmp_path / "bad.zip"), bad, candidate, required)
+    assert not (tmp_path / "bad.zip").exists()
+
+
+def test_train_resumes_from_its_tables(spark, tmp_path, monkeypatch):
+    f, out, made = Frames(spark, SF), str(tmp_path / "t"), []
+    real = pipeline.stage
+
+    def stage(spark_, path, make):
+        made.extend([path.rsplit("/", 1)[1]] * (not pipeline.finished(spark_, path)))
+        return real(spark_, path, make)
+
+    monkeypatch.setattr(pipeline, "stage", stage)
+    assert pipeline.resume_state(spark, out) == ("new", "sample")
+    monkeypatch.setattr(model, "train_validate", lambda *a, **b: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(RuntimeError):
+        pipeline.train(spark, f.s1, f.target, f.truth, out, trees=2)
+    assert made == ["sample", "labelled", "features"] and pipeline.resume_state(spark, out) == ("resumable", "matcher/settings")
+    monkeypatch.undo()
+    monkeypatch.setattr(pipeline, "stage", stage)
+    threshold = pipeline.train(spark, f.s1, f.target, f.truth, out, trees=2)
+    assert made == ["sample", "labelled", "features"] and pipeline.resume_state(spark, out) == ("finished", None)
+    assert pipeline.train(spark, f.s1, f.target, f.truth, out, trees=2) == threshold
+    with pytest.raises(ValueError, match="trees"):
+        pipeline.train(spark, f.s1, f.target, f.truth, out, trees=3)
+
+
+def test_preflight(spark, tmp_path):
+    spark.range(1).write.parquet(str(tmp_path / "whole"))
+    (tmp_path / "part").mkdir()
+    pipeline.preflight(spark, [str(tmp_path / "part")], [str(tmp_path / "whole")])
+    with pytest.raises(FileNotFoundError, match="part"):
+        pipeline.preflight(spark, [], [str(tmp_path / "part")])
+    pipeline.drop(spark, str(tmp_path / "whole"), str(tmp_path / "absent"))
+    assert not pipeline.exists(spark, str(tmp_path / "whole"))
+
+
+def test_selection_guard_of_a_run(spark, tmp_path, monkeypatch):
+    """A run whose selection is lost, though scores qualify, exports nothing."""
+    f = Frames(spark, SF)
+    monkeypatch.setattr(pipeline.BucketedRun, "go", lambda self, scored, threshold, stop_after=None: [])
+    monkeypatch.setattr(pipeline.BucketedRun, "result", lambda self, schema=None: f.scored.limit(0))
+    with pytest.raises(evaluate.EmptySelection):
+        pipeline.link(spark, f.s1, f.target, lambda df: df.withColumn("score", F.lit(1.0)), str(tmp_path / "run"), S.Settings(threshold=0.5))
+    assert not pipeline.exists(spark, str(tmp_path / "run/matching_results"))
+
+
+def test_scores_by_entities(spark):
+    f = Frames(spark, SF)
+    fitted = model.fit(f.features.withColumn("label", F.col("label").cast("double")), trees=2, depth=2)
+    ids = f.s1.orderBy("entity_id").limit(20).select("entity_id")
+    some = model.score_entities(f.candidates, ids, f.s1, f.target, model.scorer(fitted), 0.0)
+    whole = model.score_candidates(f.candidates, f.s1, f.target, model.scorer(fitted))
+    own = whole.join(ids.withColumnRenamed("entity_id", "source1_entity_id"), "source1_entity_id", "left_semi")
+    assert sorted(tuple(r) for r in some.select(*S.PAIR, "score").collect()) == sorted(tuple(r) for r in own.select(*S.PAIR, "score").collect()) != []
+
+
+def test_folder_needs_a_shared_one_on_a_cluster(spark, monkeypatch):
+    class Context:
+        master, applicationId = "spark://head:7077", "app-1"
+
+    class Session:
+        sparkContext, conf = Context, type("C", (), {"get": staticmethod(lambda key, default=None: default)})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.root(Session)
+    table = workspace.written(spark.range(3), "t")
+    assert table.count() == 3 and table._written_at.startswith(workspace.root(spark))
+    workspace.discard(table)
+    assert not pipeline.exists(spark, table._written_at)

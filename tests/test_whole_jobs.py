@@ -10,6 +10,7 @@ from kinmatch import schema as S
 from kinmatch.functions import text as X
 from kinmatch.operators import blocking, model
 from kinmatch.plans import registry
+from kinmatch.plans.fixtures import Frames
 
 SF = "/root/testdata/sf0.01"
 
@@ -42,9 +43,11 @@ def test_token_pairs_beyond_the_five_longest(spark):
 
 
 def test_unbounded_token_pairs(spark, duck):
-    rows = same(spark, duck, "b16_unbounded_token_pairs")
-    bounded = duck.sql(registry.oracle_sql()["b16_address_token_pairs"]).fetchall()
-    assert rows != sorted(bounded)
+    rows = same(spark, duck, "b16_address_token_pairs")
+    bounded = duck.sql(registry.oracle_sql()["b19_bounded_token_pairs"]).fetchall()
+    assert sorted(set(rows)) != sorted(bounded)
+    whole = same(spark, duck, "b17_unbounded_candidates")
+    assert set(whole) >= {r for r in rows}
 
 
 @pytest.mark.parametrize("name, fits", [("t05_boosted_trees", 1), ("t07_train_validate", 2)])
@@ -61,4 +64,29 @@ def test_matcher_queries_fit_the_production_model(spark, monkeypatch, name, fits
 
 
 def test_25_negatives_for_validation(spark, duck):
-    assert len(same(spark, duck, "n03_validation_25")) > duck.sql(registry.oracle_sql()["n03_validation_sampling"]).count("label").fetchall()[0][0]
+    assert len(same(spark, duck, "n03_validation_sampling")) > duck.sql(registry.oracle_sql()["n03_negative_sampling"]).count("label").fetchall()[0][0]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plan_of_candidates(spark):
+    """Keys are made once a side, and the rank filter works before the shuffle."""
+    f = Frames(spark, SF)
+    plan = plan_of(f.candidates)
+    assert "WindowGroupLimit" in plan and "documents.parquet" not in plan and "regexp" not in plan.lower()
+    for side in blocking.keyed(f.s1), blocking.keyed(f.target):
+        assert plan_of(side).count("FileScan") <= 2
+    assert "WindowGroupLimit" in plan_of(blocking.best(blocking.evidence(f.pairs), 40))
+
+
+def test_hot_keys_do_not_join(spark):
+    """A key that is over its cap on one side takes no row to the pair join."""
+    row = lambda id_, n: (id_, f"name{n} word", f"{n} street address", "us")
+    columns = "entity_id string, business_name string, business_address string, country string"
+    a = X.normalised(spark.createDataFrame([row(f"S1-{k}", 7) for k in range(5)], columns))
+    b = X.normalised(spark.createDataFrame([row(f"S2-{k}", 7) for k in range(400)], columns))
+    pairs = blocking.rule_pairs(*blocking.key_tables(a, b))
+    assert pairs.count() == 0
+    assert blocking.rule_pairs(*blocking.key_tables(a, b.limit(3))).where("rule = 'B01'").count() == 15
