@@ -81,7 +81,7 @@ query(
         F.round(F.count_if(F.col("business_name") == "") * 100.0 / F.count(F.lit(1)), 4).alias("pct"), F.ceil(F.count(F.lit(1)) * 0.10).alias("tenth"), (F.count(F.lit(1)) % 5).alias("rest")
     )
 )
-query("f18_exclude_column", q("select entity_id, business_name from (select * exclude (business_address, country, src, doc_id, head) from ent)"))(lambda f: f.entities.drop("business_address", "country", "src", "doc_id", "head"))
+query("f18_exclude_column", q("select entity_id, business_name from (select * exclude (business_address, country, src, doc_id, digest) from ent)"))(lambda f: f.entities.drop("business_address", "country", "src", "doc_id", "digest"))
 query(
     "f20_token_sets",
     q(
