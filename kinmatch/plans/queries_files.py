@@ -156,7 +156,8 @@ query(
 def _text(f, name: str, header: str, lines: DataFrame) -> str:
     """A small file of lines under a header, in one part so that the header is first."""
     path = folder(f.spark, name)
-    f.spark.createDataFrame([(header,)], "value string").union(lines).coalesce(1).write.text(path)
+    whole = f.spark.createDataFrame([(0, header)], "k int, value string").union(lines.select(F.lit(1), "*"))
+    whole.coalesce(1).sortWithinPartitions("k").select("value").write.text(path)
     return path
 
 
@@ -245,6 +246,32 @@ def _states(f):
     return f.spark.createDataFrame(rows, "stages int, state string, ahead string")
 
 
+@query("r07_preflight", "select * from (values ('all there', true), ('an input is missing', false), ('a table is not finished', false)) v(name, passed)")
+def _preflight(f):
+    whole, absent = folder(f.spark, "whole"), folder(f.spark, "absent")
+    f.s1.select("entity_id").write.parquet(whole)
+    rows = []
+    for name, inputs, tables in (("all there", [whole], [whole]), ("an input is missing", [absent], []), ("a table is not finished", [], [absent])):
+        try:
+            pipeline.preflight(f.spark, inputs, tables)
+            rows.append((name, True))
+        except FileNotFoundError:
+            rows.append((name, False))
+    return f.spark.createDataFrame(rows, "name string, passed boolean")
+
+
+@query("r08_manifest", "select * from (values ('new run', true), ('resumed', true), ('other settings', false)) v(name, passed)")
+def _manifest(f):
+    out, rows = folder(f.spark, "r08"), []
+    for name, facts in (("new run", {"top": 40}), ("resumed", {"top": 40}), ("other settings", {"top": 41})):
+        try:
+            pipeline.manifest(f.spark, out, facts)
+            rows.append((name, True))
+        except ValueError:
+            rows.append((name, False))
+    return f.spark.createDataFrame(rows, "name string, passed boolean")
+
+
 @query("r02_resumed_run", over("scored", "select source1_entity_id, candidate_entity_id, score from scored where score >= 0.5"))
 def _resumed(f):
     """Half of the buckets, a stop, and a second run that does the rest."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.similarity import FEATURES
 from ..operators import evaluate, features, labeling, model
-from ..workspace import written
+from ..workspace import folder, written
 from .registry import query
 from .sql import over
 
@@ -149,6 +149,18 @@ query("t09_score_entities", over("scored", f"select {PAIRS}, score from scored w
 # --- the matcher: boosted trees have no SQL, so rows alone are compared -----------------------
 
 
+@query("k09_model_round_trip", over("scored", "select count(*) as pairs, 0::bigint as differing, true as same_columns from scored"))
+def _round_trip(f):
+    """A matcher of few trees, written and loaded: both score all pairs alike."""
+    rows, path = written(f.features.withColumn("label", F.col("label").cast("double")), "k09-rows"), folder(f.spark, "k09")
+    fitted = model.fit(rows, trees=3)
+    model.save(fitted, path, 0.97)
+    loaded, note = model.load(f.spark, path)
+    scores = [model.predict(rows, m).select(*S.PAIR, F.col("score").alias(c)) for m, c in ((fitted, "a"), (loaded, "b"))]
+    both = scores[0].join(scores[1], list(S.PAIR))
+    return both.agg(F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("a") != F.col("b")).alias("differing")).withColumn("same_columns", F.lit(note["feature_columns"] == FEATURES))
+
+
 @query("t05_boosted_trees")
 def _trees(f):
     rows = f.features.cache()
