@@ -58,9 +58,9 @@ def _hashed(index: DataFrame, id_: str, *carry: str) -> DataFrame:
 def scored(s1: DataFrame, target: DataFrame, order: list[str], most: int = S.DEFAULT.max_postings) -> DataFrame:
     """Pairs with the sum of the weights of their shared keys, and the target's order columns."""
     weight = F.element_at(F.create_map(*[x for k, v in WEIGHTS.items() for x in (F.lit(k), F.lit(v).cast("long"))]), F.col("family"))
-    index = _hashed(cut(postings(target, *order), order, most), "candidate_entity_id", F.struct(*order).alias("o"), weight.alias("w"))
+    index = _hashed(cut(postings(target, *order), order, most), "candidate_entity_id", *order, weight.alias("w"))
     joined = _hashed(postings(s1), "source1_entity_id").join(index, ["h1", "h2"])
-    return joined.groupBy(*S.PAIR).agg(F.sum("w").alias("score"), F.min("o").alias("o")).select(*S.PAIR, "o.*", "score")
+    return joined.groupBy(*S.PAIR, *order).agg(F.sum("w").alias("score"))
 
 
 def candidates(s1: DataFrame, target: DataFrame, order: list[str], settings: S.Settings = S.DEFAULT) -> DataFrame:

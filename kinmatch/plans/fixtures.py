@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import text as X
 from ..operators import blocking, features, labeling
+from ..workspace import spread
 
 
 class Frames:
@@ -25,7 +26,7 @@ class Frames:
     @cached_property
     def entities(self) -> DataFrame:
         docs = self.spark.read.parquet(f"{self.dir}/documents.parquet")
-        return docs.select(
+        rows = docs.select(
             F.concat(F.lit("S"), 1 + F.col("doc_id") % 3, F.lit("-"), F.col("doc_id")).alias("entity_id"),
             F.when(F.col("doc_id") % 20 == 7, F.lit("")).otherwise(F.regexp_extract("text", "^[^\n]{0,40}", 0)).alias("business_name"),
             F.concat(F.col("n_chars").cast("string"), F.lit(" "), F.substring("text", 41, 40)).alias("business_address"),
@@ -34,6 +35,7 @@ class Frames:
             "doc_id",
             F.md5("text").alias("digest"),
         )
+        return spread(rows, docs)
 
     def source(self, *src: int) -> DataFrame:
         return self.entities.where(F.col("src").isin(*src)).select("entity_id", "business_name", "business_address", "country", "src", "doc_id")
