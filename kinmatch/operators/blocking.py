@@ -12,6 +12,9 @@ before the shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,8 +30,8 @@ def _key(*parts: Column) -> Column:
     return F.concat(*[p for k, x in enumerate(parts) for p in ((F.lit(_SEP), x) if k else (x,))])
 
 
-def rule_keys(settings: S.Settings = S.DEFAULT) -> dict[str, Column]:
-    """For each rule an array of (key, counted) over a normalised entity."""
+def rule_keys(settings: S.Settings = S.DEFAULT) -> dict[str, Callable[[], Column]]:
+    """For each rule what builds an array of (key, counted) over a normalised entity."""
     name, addr, country = F.col("name_norm"), F.col("address_norm"), F.col("country_norm")
     one = lambda key, counted: F.array(F.struct(key.alias("key"), counted.alias("counted")))
     many = lambda keys: F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(True).alias("counted")))
@@ -39,30 +42,43 @@ def rule_keys(settings: S.Settings = S.DEFAULT) -> dict[str, Column]:
     tok2, long1 = F.get(X.name_tokens(name), F.lit(1)), F.get(X.address_tokens(addr), F.lit(0))
     both = (F.length(name) >= 3) & (F.length(addr) >= 4)
     return {
-        "B01": one(_key(country, name), name != ""),
-        "B02": one(name, name != ""),
-        "B03": one(_key(country, addr), addr != ""),
-        "B04": one(addr, addr != ""),
-        "B05": one(_key(country, X.first_word(name, 3), X.first_word(addr, 4)), both),
-        "B06": one(_key(X.first_word(name, 4), X.first_word(addr, 4)), (F.length(name) >= 4) & (F.length(addr) >= 4)),
-        "B07": one(_key(country, X.first_word(name, 4)), F.length(name) >= 4),
-        "B08": one(_key(country, run5), run5 != ""),
-        "B09": one(_key(country, second), ~second.isin(*S.SECOND_WORD_STOPS)),
-        "B10": one(_key(country, run4), run4 != ""),
-        "B12": many(if_(tok2.isNotNull() & (number != ""), F.array(_key(country, tok2, number)))),
-        "B13": many(if_((number != "") & (F.length(name) >= 4), F.array(_key(country, F.substring(F.replace(name, F.lit(" "), F.lit("")), 1, 4), number)))),
-        "B14": many(if_(long1.isNotNull(), F.transform(X.numbers(addr, 1, 6), lambda n: _key(country, n, long1)))),
-        "B15": many(F.transform(X.numbers(addr, 3, 8), lambda n: _key(country, n))),
-        "B16": many(F.transform(X.let(X.address_words(addr, settings.pair_tokens), X.token_pairs), lambda p: _key(country, p["a"], p["b"]))),
+        "B01": lambda: one(_key(country, name), name != ""),
+        "B02": lambda: one(name, name != ""),
+        "B03": lambda: one(_key(country, addr), addr != ""),
+        "B04": lambda: one(addr, addr != ""),
+        "B05": lambda: one(_key(country, X.first_word(name, 3), X.first_word(addr, 4)), both),
+        "B06": lambda: one(_key(X.first_word(name, 4), X.first_word(addr, 4)), (F.length(name) >= 4) & (F.length(addr) >= 4)),
+        "B07": lambda: one(_key(country, X.first_word(name, 4)), F.length(name) >= 4),
+        "B08": lambda: one(_key(country, run5), run5 != ""),
+        "B09": lambda: one(_key(country, second), ~second.isin(*S.SECOND_WORD_STOPS)),
+        "B10": lambda: one(_key(country, run4), run4 != ""),
+        "B12": lambda: many(if_(tok2.isNotNull() & (number != ""), F.array(_key(country, tok2, number)))),
+        "B13": lambda: many(if_((number != "") & (F.length(name) >= 4), F.array(_key(country, F.substring(F.replace(name, F.lit(" "), F.lit("")), 1, 4), number)))),
+        "B14": lambda: many(if_(long1.isNotNull(), F.transform(X.numbers(addr, 1, 6), lambda n: _key(country, n, long1)))),
+        "B15": lambda: many(F.transform(X.numbers(addr, 3, 8), lambda n: _key(country, n))),
+        "B16": lambda: many(F.transform(X.let(X.address_words(addr, settings.pair_tokens), X.token_pairs), lambda p: _key(country, p["a"], p["b"]))),
     }
 
 
+#: Expressions that were built, by the JVM that holds them: building the fifteen rules takes a
+#: second of calls between Python and the JVM, for any input.
+_built: dict[tuple, Column] = {}
+
+
+def _key_rows(settings: S.Settings) -> Column:
+    """All keys of an entity as an array of (rule, key, counted)."""
+    jvm = SparkContext._active_spark_context._jvm
+    at = (id(jvm), settings.rules, settings.pair_tokens)
+    if at not in _built:
+        per_rule = rule_keys(settings)
+        tagged = lambda r: F.transform(per_rule[r](), lambda x: F.struct(F.lit(r).alias("rule"), x["key"].alias("key"), x["counted"].alias("counted")))
+        _built[at] = F.flatten(F.array(*[tagged(r) for r in settings.rules]))
+    return _built[at]
+
+
 def keyed(entities: DataFrame, settings: S.Settings = S.DEFAULT) -> DataFrame:
     """Rows of (rule, key, entity_id, counted, nameless)."""
-    per_rule = rule_keys(settings)
-    tagged = lambda r: F.transform(per_rule[r], lambda x: F.struct(F.lit(r).alias("rule"), x["key"].alias("key"), x["counted"].alias("counted")))
-    parts = [tagged(r) for r in settings.rules]
-    rows = entities.select("entity_id", (F.coalesce("name_norm", F.lit("")) == "").alias("nameless"), F.explode(F.flatten(F.array(*parts))).alias("x"))
+    rows = entities.select("entity_id", (F.coalesce("name_norm", F.lit("")) == "").alias("nameless"), F.explode(_key_rows(settings)).alias("x"))
     return rows.select("x.rule", "x.key", "entity_id", "x.counted", "nameless").where("key is not null")
 
 

@@ -75,6 +75,6 @@ def spread(df: DataFrame, size_of: DataFrame | None = None) -> DataFrame:
     the files are so small that they come in a split or two: less than 4 MB for each core, which
     is what Spark takes opening a file to be worth. Larger inputs are left as they are read."""
     spark = df.sparkSession
-    size = (df if size_of is None else size_of)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()
+    size = int(str((df if size_of is None else size_of)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     cores = spark.sparkContext.defaultParallelism
     return df.repartition(cores) if size < cores * (4 << 20) else df
