@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..workspace import discard, written  # noqa: F401
+from ..workspace import discard, spread, written  # noqa: F401
 
 #: What separates words: the ASCII white space.
 WORD_SPACE = " \t\n\x0b\x0c\r"
@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    """A table whose texts are worked on row by row, at some cost: small files go to all cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 def map_batches(rows: DataFrame, run, schema: str) -> DataFrame:
     """mapInArrow. Spark ends a batch at 64 MB (maxBytesPerBatch) or 10,000 rows, whichever comes
     first, and the session's settings stay as the caller left them."""

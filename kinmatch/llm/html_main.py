@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, table, written
+from .common import map_batches, texts, written
 
 SUPPORT = 0.5
 LEAST_TOKENS = 3
@@ -557,4 +557,4 @@ def extract(pages: DataFrame) -> DataFrame:
 
 
 def op6_equivalence_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract(table(spark, sf_dir, "pages"))
+    return extract(texts(spark, sf_dir, "pages"))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc32_of, hash_below, map_batches, table
+from .common import crc32_of, hash_below, map_batches, texts
 
 BITS = 16
 ORDERS = (2, 3, 4)
@@ -199,6 +199,6 @@ def identify(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> Data
 
 
 def op5_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir)
     found = identify(docs, train(training_rows(docs)))
     return found.select(F.col("_id").alias("doc_id"), held_out(F.col("_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "ambiguous")

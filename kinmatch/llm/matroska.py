@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, table
+from .common import map_batches, texts
 
 # Fixed values of the format: element ids.
 EBML, DOC_TYPE, DOC_TYPE_VERSION, DOC_TYPE_READ = 0x1A45DFA3, 0x4282, 0x4287, 0x4285
@@ -302,4 +302,4 @@ def digest(stored: DataFrame) -> DataFrame:
 
 
 def op4_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(store(table(spark, sf_dir, "documents")))
+    return digest(store(texts(spark, sf_dir)))

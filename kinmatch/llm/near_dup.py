@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, table, written
+from .common import map_batches, texts, written
 from .components import components
 
 SHINGLE = 3
@@ -164,5 +164,5 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def op7_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = near_duplicates(table(spark, sf_dir, "documents"))
+    rows = near_duplicates(texts(spark, sf_dir))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, table, written
+from .common import map_batches, texts, written
 
 LENGTH = 2048
 OPEN = 64
@@ -161,4 +161,4 @@ def pack_documents(docs: DataFrame, path: str | None = None, ranks: str | None =
 
 
 def op9_bounded_space(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"))
+    return pack_documents(texts(spark, sf_dir))

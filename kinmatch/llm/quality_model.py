@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc32_of, hash_below, hash_of, map_batches, table, within_bytes
+from .common import crc32_of, hash_below, hash_of, map_batches, table, texts, within_bytes
 
 BITS = 18
 EPOCHS = 4
@@ -125,7 +125,7 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, bits: int = BITS, i
 
 
 def op1_hashed_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir)
     weights, bias = train(training_rows(docs, table(spark, sf_dir, "labels")))
     scored = score(docs, weights, bias)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_SPACE, let, table, words_of
+from .common import WORD_SPACE, let, texts, words_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -129,7 +129,7 @@ def ablations(rows: DataFrame, policy: str | list[str] = CURRENT) -> DataFrame:
 
 
 def op2_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ledger(table(spark, sf_dir, "documents"))
+    rows = ledger(texts(spark, sf_dir))
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~kept_by("base")).alias("base_failed"), kept_by(CURRENT).alias("kept"), "failure_bits",
