@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinmatch.llm import language, mixing, near_dup, packing, quality_rules
-from kinmatch.llm.common import discard, table, written
+from kinmatch.llm.common import discard, texts, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -63,7 +63,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir)
     for k, (_, stage) in enumerate(STAGES[:-1]):
         before, docs = docs, written(stage(spark, docs, sf_dir), f"stage-{k}")
         discard(before)
