@@ -39,7 +39,7 @@ def fit(rows: DataFrame, trees: int = TREES, depth: int = 7, seed: int = 42) ->
         context.setCheckpointDir(folder(rows.sparkSession, "trees"))
     weight, partitions = balance(rows)
     weighted = rows.withColumn("w", F.when(F.col("label") == 1, F.lit(weight)).otherwise(F.lit(1.0))).repartition(partitions)
-    gbt = GBTClassifier(labelCol="label", weightCol="w", maxIter=trees, maxDepth=depth, stepSize=0.05, subsamplingRate=0.85, featureSubsetStrategy="0.9", minInstancesPerNode=2, seed=seed)
+    gbt = GBTClassifier(labelCol="label", weightCol="w", maxIter=trees, maxDepth=depth, stepSize=0.05, subsamplingRate=0.85, featureSubsetStrategy="0.9", minInstancesPerNode=2, seed=seed, checkpointInterval=50)
     return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), gbt]).fit(weighted)
 
 
