@@ -551,6 +551,38 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Nulls in every column, empty and long texts, repeated rows, columns with clashing names."""
+    rng = random.Random(11)
+    words = {"en": "the cat sat on a mat with some of those other things".split(), "fr": "le chat est sur la table avec quelques autres choses".split()}
+    said = lambda lang, n: " ".join(f"{rng.choice(words[lang])}{rng.randint(0, 99)}" for _ in range(n))
+    rows = [(k, said(lang, 60), lang, f"s{k % 3}", 0) for k in range(40) for lang in [("en", "fr")[k % 2]]]
+    copy_ = rows[7][1]
+    rows += [(100, None, None, None, None), (101, "", "en", "s0", 0), (102, "123 456 " * 20, "en", "s0", 0), (103, "few words", "en", None, 0)]
+    rows += [(104, copy_, "fr", None, 3), (105, copy_.upper(), None, "s1", 3), (None, said("en", 50), "en", "s1", 0), (None, said("en", 50), "en", None, 0)]
+    rows += [(106, long := said("fr", 30_000), "fr", "s2", 0), (107, same := said("en", 40), "en", "s2", 0), (107, same, "en", "s2", 0)]
+    df = spark.createDataFrame(rows, DOCS)
+    clash = df.withColumns({c: F.lit("clash") for c in ("_id", "_mark", "size", "copies", "target", "lang_pred", "failure_bits", "fp", "start", "turn", "_row")})
+    clash.write.parquet(str(tmp_path / "documents.parquet"))
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    ids = {r.doc_id for r in pieces}
+    assert ids <= {k for k, *_ in rows} - {100, 101, 102, 103, 104, 105}
+    assert 7 in {r.doc_id for r in corpus_pipeline.near_duplicates(spark, df.where("doc_id in (7, 104, 105)"), "").collect()}
+    kept, now = [], spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        now = stage(spark, now, str(tmp_path))
+        assert now.columns == list(corpus_pipeline.COLUMNS)
+        kept.append(Counter(r.doc_id for r in now.collect()))
+    assert 100 not in kept[0] and 102 not in kept[0] and 103 not in kept[1] and kept[1][None] == 2
+    assert kept[2] == Counter([*range(40), 106, 107, None, None])
+    held = defaultdict(int)
+    for r in pieces:
+        held[r.doc_id] += r.length
+        assert r.length <= packing.LENGTH
+    n = len(packing.encoder(packing.vocabulary()[0], None)(long)) // 4 + 1
+    assert held[106] % n == 0 and held[106] // n <= 2
+
+
 def test_nothing_else_imports_this_package():
     top = os.path.dirname(os.path.dirname(corpus_pipeline.__file__ and os.path.abspath(html_main.__file__)))
     for folder, _, files in os.walk(top):
