@@ -1,25 +1,24 @@
-"""The matcher: gradient-boosted trees over the pair features, with Spark ML."""
+"""The matcher: gradient-boosted trees over the pair features (see `boosting`)."""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schema as S
 from ..functions.similarity import FEATURES
-from ..workspace import folder
-from . import evaluate, features, labeling
+from ..workspace import discard, written
+from . import boosting, evaluate, features, labeling
 
 TREES = 350
 
 
-#: Rows in a partition while trees are fitted: a level of a tree is a job, which few rows in many tasks only slow down.
+#: Rows in a task while trees are fitted: few rows in many tasks only slow the exchange down.
 ROWS = 20_000
 
 
@@ -33,26 +32,42 @@ def positive_weight(rows: DataFrame) -> float:
     return balance(rows)[0]
 
 
-def fit(rows: DataFrame, trees: int = TREES, depth: int = 7, seed: int = 42) -> PipelineModel:
-    context = rows.sparkSession.sparkContext
-    if not context.getCheckpointDir():  # else the lineage grows with every tree
-        context.setCheckpointDir(folder(rows.sparkSession, "trees"))
-    weight, partitions = balance(rows)
-    weighted = rows.withColumn("w", F.when(F.col("label") == 1, F.lit(weight)).otherwise(F.lit(1.0))).repartition(partitions)
-    gbt = GBTClassifier(labelCol="label", weightCol="w", maxIter=trees, maxDepth=depth, stepSize=0.05, subsamplingRate=0.85, featureSubsetStrategy="0.9", minInstancesPerNode=2, seed=seed, checkpointInterval=50)
-    return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), gbt]).fit(weighted)
+def _slots(spark: SparkSession) -> int:
+    """Tasks that can run at once, which a barrier stage needs."""
+    context = spark.sparkContext._jsc.sc()
+    return max(1, min(spark.sparkContext.defaultParallelism, context.maxNumConcurrentTasks(context.resourceProfileManager().defaultResourceProfile())))
 
 
-def predict(rows: DataFrame, model: PipelineModel) -> DataFrame:
+def fit(rows: DataFrame, trees: int = TREES, depth: int = 7, seed: int = 42) -> boosting.Trees:
+    """The rows are written once, as they are read twice; then all trees are one stage."""
+    ids = [c for c in S.PAIR if c in rows.columns] or FEATURES
+    made = written(rows.select(*[F.col(c).cast("double") for c in FEATURES], F.col("label").cast("double"), F.xxhash64(*ids).alias("key")), "training")
+    try:
+        tasks = min(balance(made)[1], _slots(rows.sparkSession))
+        found = made.repartition(tasks).mapInArrow(boosting.stage(FEATURES, trees, depth, seed), "model binary", barrier=True).collect()  # a row
+        return boosting.Trees.from_bytes(bytes(found[0]["model"]))
+    finally:
+        discard(made)
+
+
+def predict(rows: DataFrame, model: boosting.Trees) -> DataFrame:
     """The rows and `score`, the probability of a match."""
-    out = model.transform(rows).withColumn("score", vector_to_array("probability")[1])
-    return out.drop("features", "rawPrediction", "probability", "prediction")
+    shared = rows.sparkSession.sparkContext.broadcast(model.to_bytes())
+
+    def scores(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        fitted = boosting.Trees.from_bytes(shared.value)
+        for columns in batches:
+            yield pd.Series(fitted.score(np.stack([c.to_numpy(np.float64, na_value=np.nan) for c in columns], 1)))
+
+    # not deterministic only in name: a filter on the score would else compute it a second time
+    score = F.pandas_udf(scores, "double").asNondeterministic()
+    return rows.withColumn("score", score(*[F.col(c).cast("double") for c in FEATURES]))
 
 
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def scorer(model: PipelineModel) -> Scorer:
+def scorer(model: boosting.Trees) -> Scorer:
     return lambda rows: predict(rows, model)
 
 
@@ -82,12 +97,13 @@ def train_validate(rows: DataFrame, thresholds, trees: int = TREES, folds: int =
         rows.unpersist()
 
 
-def save(model: PipelineModel, path: str, threshold: float) -> None:
-    model.write().overwrite().save(f"{path}/model")
+def save(model: boosting.Trees, path: str, threshold: float) -> None:
     spark = SparkSession.getActiveSession()
+    spark.createDataFrame([(bytearray(model.to_bytes()),)], "model binary").coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
     note = json.dumps({"threshold": threshold, "feature_columns": FEATURES})
     spark.createDataFrame([(note,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
 
 
-def load(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
-    return PipelineModel.load(f"{path}/model"), json.loads(spark.read.text(f"{path}/settings").first()[0])
+def load(spark: SparkSession, path: str) -> tuple[boosting.Trees, dict]:
+    model = spark.read.schema("model binary").parquet(f"{path}/model").first()["model"]
+    return boosting.Trees.from_bytes(bytes(model)), json.loads(spark.read.text(f"{path}/settings").first()[0])

@@ -163,7 +163,7 @@ def _round_trip(f):
 
 @query("t05_boosted_trees")
 def _trees(f):
-    rows = f.features.cache()
+    rows = written(f.features, "t05-rows")
     fitted = model.fit(labeling.with_negatives(rows.withColumn("label", F.col("label").cast("double")), 15))
     return model.predict(rows, fitted).select(*S.PAIR, "label", F.round("score", 6).alias("score"))
 
