@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.similarity import FEATURES
+from ..functions.similarity import FEATURES, rounded
 from ..operators import evaluate, features, labeling, model
 from ..workspace import folder, written
 from .registry import query
@@ -138,7 +138,7 @@ def _guarded(f):
 
 def _by_rule(rows):
     """A scorer that any engine gives alike, in the place of a fitted model."""
-    return rows.withColumn("score", F.round((F.col("name_char_jaccard") + F.col("address_char_jaccard")) / 2, 6))
+    return rows.withColumn("score", rounded((F.col("name_char_jaccard") + F.col("address_char_jaccard")) / 2, 6))
 
 
 query("t08_predict_candidates", over("scored", f"select {PAIRS}, score from scored"))(lambda f: model.score_candidates(f.candidates, f.s1, f.target, _by_rule).select(*S.PAIR, "score"))

@@ -45,3 +45,18 @@ def test_lists():
     assert len(S.SECOND_WORD_STOPS) == 10 and len(S.NAME_TOKEN_STOPS) == 20 and len(S.ADDRESS_TOKEN_STOPS) == 38 and len(S.ADDRESS_PAIR_STOPS) == 32 and len(S.NAME_ABBREVIATIONS) == 4 and len(S.ADDRESS_ABBREVIATIONS) == 9
     for words in (S.NAME_TOKEN_STOPS, S.ADDRESS_TOKEN_STOPS, S.ADDRESS_PAIR_STOPS):
         assert words == sorted(set(words))
+
+
+def test_scores_round_as_the_sql_does(spark, tmp_path):
+    """Means of ratios of small numbers, some of them a hair off a half in the sixth decimal."""
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from kinmatch.functions.similarity import rounded
+
+    path = str(tmp_path / "ratios.parquet")
+    duckdb.sql(f"copy (select (a.i::double / a.n + b.i::double / b.n) / 2 as x from (select i, n from range(1, 81) t(n), range(0, 81) u(i) where i <= n and n in (16, 25, 32, 40, 50, 64, 80)) a, (select i, n from range(1, 81) t(n), range(0, 81) u(i) where i <= n and n in (25, 32, 50, 64, 78, 80)) b) to '{path}' (format parquet)")
+    shown = lambda r: spark.read.parquet(path).select("x", F.format_string("%.8f", r(F.col("x"), 6)).alias("s")).distinct().collect()
+    want = dict(duckdb.sql(f"select distinct x, printf('%.8f', round(x, 6)) from '{path}'").fetchall())
+    assert {r["x"]: r["s"] for r in shown(rounded)} == want
+    assert {r["x"]: r["s"] for r in shown(F.round)} != want
