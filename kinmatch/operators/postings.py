@@ -1,14 +1,24 @@
 """The second blocker: an inverted index with posting lists cut at a length.
 
 Hot keys are cut here to their first targets, not dropped as in `blocking`. Keys need a country.
+
+An entity meets some thousand targets, most of them by a single key, so pairs are never shuffled:
+source entities are dealt to parts, a part gets the posting lists of its keys once, and its pairs
+are summed, ranked and put out entity by entity. What travels grows with the parts times the hot
+keys, not with the pairs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..workspace import written
 
 # The weight of each family of keys.
 WEIGHTS = {"exact_name": 8, "exact_addr": 7, "combo": 6, "name_prefix": 5, "name_tok": 4, "addr_tok": 3, "ngram": 2}
@@ -43,28 +53,157 @@ def postings(entities: DataFrame, *carry: str) -> DataFrame:
     return rows.select("entity_id", F.col("country_norm").alias("country"), "k.family", "k.key", *carry)
 
 
-def cut(index: DataFrame, order: list[str], most: int) -> DataFrame:
+def cut(index: DataFrame, order: list[str], most: int, by: tuple[str, ...] = ("family", "country", "key")) -> DataFrame:
     """The first `most` postings of each key; Spark limits each partition before the shuffle."""
-    w = Window.partitionBy("family", "country", "key").orderBy(*order)
+    w = Window.partitionBy(*by).orderBy(*order)
     return index.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= most).drop("rn")
 
 
-def _hashed(index: DataFrame, id_: str, *carry: str) -> DataFrame:
-    """Postings with 128 bits of hash in place of the three strings that they are joined on."""
-    on = ("family", "country", "key")
-    return index.select(F.col("entity_id").alias(id_), F.xxhash64(*on).alias("h1"), F.xxhash64(F.lit(1), *on).alias("h2"), *carry)
+#: Source entities of a part, at most about: its posting lists are held in a task's memory.
+PART = 8_000
+#: Postings that are summed at once.
+CHUNK = 1_000_000
+_ON = ("h1", "h2")
+
+
+def _hashes(family: Column, key: Column) -> list[Column]:
+    """128 bits of hash in place of the three strings that postings meet on."""
+    on = (family, F.col("country_norm"), key)
+    return [F.xxhash64(*on).alias("h1"), F.xxhash64(F.lit(1), *on).alias("h2")]
+
+
+def _keyed(entities: DataFrame, *carry: str) -> DataFrame:
+    rows = entities.where(F.coalesce("country_norm", F.lit("")) != "").select("entity_id", "country_norm", "name_norm", "address_norm", *carry).distinct()
+    return rows.select("entity_id", "country_norm", *carry, posting_keys().alias("keys"))
+
+
+def _lists(target: DataFrame, order: list[str], most: int) -> DataFrame:
+    """The cut index, a row a key: hashes, weight, positions of targets in `order`, their ids."""
+    rows = written(_keyed(target, *order), "targets")
+    numbered = written(rows.orderBy(*order).withColumn("n", F.monotonically_increasing_id()), "numbered")
+    weight = F.element_at(F.create_map(*[x for k, v in WEIGHTS.items() for x in (F.lit(k), F.lit(v).cast("long"))]), F.col("k.family"))
+    index = numbered.select("entity_id", "n", "country_norm", F.explode("keys").alias("k")).select("entity_id", "n", weight.alias("w"), *_hashes(F.col("k.family"), F.col("k.key")))
+    rows = cut(index, ["n"], most, _ON).groupBy(*_ON).agg(F.first("w").alias("w"), F.collect_list(F.struct("n", "entity_id")).alias("x"))
+    return rows.select(*_ON, "w", F.col("x.n").alias("ns"), F.col("x.entity_id").alias("ids"))
+
+
+def _matched(s1: DataFrame, target: DataFrame, order: list[str], most: int, top: int | None) -> DataFrame:
+    hashes = lambda k: F.struct(*_hashes(k["family"], k["key"]))
+    left = written(_keyed(s1).select("entity_id", F.transform("keys", hashes).alias("k")), "posting-keys")
+    n, cores = left.count(), s1.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, -(-n // PART), min(cores, n // 500))
+    left = left.select(F.pmod(F.xxhash64("entity_id"), F.lit(parts)).cast("int").alias("part"), "entity_id", "k")
+    wanted = left.select("part", F.explode("k").alias("k")).groupBy("k.h1", "k.h2").agg(F.collect_set("part").alias("parts"))
+    lists = _lists(target, order, most).join(wanted, list(_ON)).select(F.explode("parts").alias("part"), F.lit(None).cast("string").alias("entity_id"), F.array("h1").alias("h1"), F.array("h2").alias("h2"), "w", "ns", "ids")
+    rows = lists.unionByName(left.select("part", "entity_id", F.col("k.h1").alias("h1"), F.col("k.h2").alias("h2")), allowMissingColumns=True)
+    dealt = rows.repartitionById(parts, F.col("part")).sortWithinPartitions("part", F.col("entity_id").asc_nulls_first())
+    return dealt.mapInArrow(lambda batches: _pairs(batches, top), "source1_entity_id string, candidate_entity_id string, position long, score long")
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Lengths of the lists of a column, and what is in them."""
+    return column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), column.flatten()
+
+
+class _Part:
+    """The posting lists of a part, by hash, and its candidates in the targets' order."""
+
+    def __init__(self, rows: list[pa.RecordBatch]):
+        t = pa.Table.from_batches(rows)
+        column = lambda c: t.column(c).combine_chunks()
+        h1, h2 = (_flat(column(c))[1].to_numpy() for c in _ON)
+        by = np.lexsort((h2, h1))
+        lengths, ns = _flat(column("ns"))
+        self.h1, self.h2, self.w, self.length, self.start = h1[by], h2[by], column("w").to_numpy()[by], lengths[by], (np.cumsum(lengths) - lengths)[by]
+        self.position, first, self.candidate = np.unique(ns.to_numpy(), return_index=True, return_inverse=True)
+        self.ids = column("ids").flatten().take(pa.array(first))
+
+    def find(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+        """The list of each key, -1 for none."""
+        at, last = np.searchsorted(self.h1, h1), len(self.h1) - 1
+        while True:
+            here = np.minimum(at, last)
+            same = (at <= last) & (self.h1[here] == h1)
+            other = same & (self.h2[here] != h2)  # 64 bits alike, not all 128
+            if not other.any():
+                return np.where(same, here, -1)
+            at = at + other
+
+    def pairs(self, entities: list[str], owner: np.ndarray, lists: np.ndarray, top: int | None) -> pa.RecordBatch:
+        """The pairs of some entities: `owner` and `lists` have a row for each of their keys."""
+        lengths = self.length[lists]
+        ends = np.cumsum(lengths)
+        at = np.arange(ends[-1]) + np.repeat(self.start[lists] - ends + lengths, lengths)
+        n, wide = len(self.position), int(max(WEIGHTS.values())) + 1
+        code = np.sort((np.repeat(owner, lengths) * n + self.candidate[at]) * wide + np.repeat(self.w[lists], lengths))
+        pair = code // wide
+        first = np.flatnonzero(np.diff(pair, prepend=-1))
+        score, pair = np.add.reduceat(code - pair * wide, first), pair[first]
+        owner, candidate = pair // n, pair % n
+        if top is not None:
+            by = np.lexsort((candidate, -score, owner))
+            begins = np.flatnonzero(np.diff(owner, prepend=-1))
+            rank = np.arange(len(by)) - np.repeat(begins, np.diff(begins, append=len(by)))
+            by = by[rank < top]
+            owner, candidate, score = owner[by], candidate[by], score[by]
+        names = pa.array(entities, pa.string()).take(pa.array(owner))
+        return pa.RecordBatch.from_arrays([names, self.ids.take(pa.array(candidate)), pa.array(self.position[candidate]), pa.array(score)], ["source1_entity_id", "candidate_entity_id", "position", "score"])
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], top: int | None) -> Iterator[pa.RecordBatch]:
+    """Rows come by part: its lists first (no entity), then its entities in order."""
+    number, lists, part = None, [], None
+    entities, owner, found, held = [], [], [], 0
+
+    def done():
+        nonlocal entities, owner, found, held
+        if held:
+            yield part.pairs(entities, np.concatenate(owner), np.concatenate(found), top)
+        entities, owner, found, held = [], [], [], 0
+
+    for batch in batches:
+        numbers, ids = batch.column("part").to_numpy(), batch.column("entity_id")
+        lone = ids.is_null().to_numpy(zero_copy_only=False)
+        # runs of rows of a part and a kind
+        bounds = [0, *(np.flatnonzero((np.diff(numbers) != 0) | (np.diff(lone.astype(np.int8)) != 0)) + 1).tolist(), len(numbers)]
+        for a, b in zip(bounds, bounds[1:]):
+            if a == b:
+                continue
+            if numbers[a] != number:
+                yield from done()
+                number, lists, part = numbers[a], [], None
+            run = batch.slice(a, b - a)
+            if lone[a]:
+                lists.append(run)
+                continue
+            if not lists and part is None:
+                continue  # no key of the part is in the index
+            if part is None:
+                part, lists = _Part(lists), []
+            lengths, h1 = _flat(run.column("h1"))
+            hits = part.find(h1.to_numpy(), run.column("h2").flatten().to_numpy())
+            ends = np.cumsum(lengths)
+            for name, begin, end in zip(ids.slice(a, b - a).to_pylist(), (ends - lengths).tolist(), ends.tolist()):
+                mine = hits[begin:end]
+                mine = mine[mine >= 0]
+                size = int(part.length[mine].sum())
+                if not size:
+                    continue
+                if not entities or entities[-1] != name:
+                    if held + size > CHUNK:
+                        yield from done()
+                    entities.append(name)
+                owner.append(np.full(len(mine), len(entities) - 1))
+                found.append(mine)
+                held += size
+    yield from done()
 
 
 def scored(s1: DataFrame, target: DataFrame, order: list[str], most: int = S.DEFAULT.max_postings) -> DataFrame:
-    """Pairs with the sum of the weights of their shared keys, and the target's order columns."""
-    weight = F.element_at(F.create_map(*[x for k, v in WEIGHTS.items() for x in (F.lit(k), F.lit(v).cast("long"))]), F.col("family"))
-    index = _hashed(cut(postings(target, *order), order, most), "candidate_entity_id", *order, weight.alias("w"))
-    joined = _hashed(postings(s1), "source1_entity_id").join(index, ["h1", "h2"])
-    return joined.groupBy(*S.PAIR, *order).agg(F.sum("w").alias("score"))
+    """Pairs with the sum of the weights of their shared keys, and the target's position in `order`."""
+    return _matched(s1, target, order, most, None)
 
 
 def candidates(s1: DataFrame, target: DataFrame, order: list[str], settings: S.Settings = S.DEFAULT) -> DataFrame:
     """The best `max_per_entity` pairs of each source entity, ties by the targets' order."""
-    w = Window.partitionBy("source1_entity_id").orderBy(F.col("score").desc(), *order)
-    ranked = scored(s1, target, order, settings.max_postings).withColumn("rn", F.row_number().over(w))
-    return ranked.where(F.col("rn") <= settings.max_per_entity).select(*S.PAIR).distinct()
+    return _matched(s1, target, order, settings.max_postings, settings.max_per_entity).select(*S.PAIR)
