@@ -10,16 +10,21 @@ keys, not with the pairs.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..workspace import written
 
+# executors need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The weight of each family of keys.
 WEIGHTS = {"exact_name": 8, "exact_addr": 7, "combo": 6, "name_prefix": 5, "name_tok": 4, "addr_tok": 3, "ngram": 2}
 
