@@ -16,9 +16,15 @@ from __future__ import annotations
 import io
 import secrets
 import socket
+import sys
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+
+# executors need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BINS = 256
 CELLS = 65_536
@@ -315,3 +321,14 @@ def stage(names: list[str], trees: int, depth: int, seed: int):
             yield pa.RecordBatch.from_pydict({"model": pa.array([made.to_bytes()], pa.binary())})
 
     return run
+
+
+def scores(shared):
+    """The function of a pandas UDF over the features, by a broadcast model."""
+
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        fitted = Trees.from_bytes(shared.value)
+        for columns in batches:
+            yield pd.Series(fitted.score(np.stack([c.to_numpy(np.float64, na_value=np.nan) for c in columns], 1)))
+
+    return run

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,14 +51,8 @@ def fit(rows: DataFrame, trees: int = TREES, depth: int = 7, seed: int = 42) ->
 def predict(rows: DataFrame, model: boosting.Trees) -> DataFrame:
     """The rows and `score`, the probability of a match."""
     shared = rows.sparkSession.sparkContext.broadcast(model.to_bytes())
-
-    def scores(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        fitted = boosting.Trees.from_bytes(shared.value)
-        for columns in batches:
-            yield pd.Series(fitted.score(np.stack([c.to_numpy(np.float64, na_value=np.nan) for c in columns], 1)))
-
     # not deterministic only in name: a filter on the score would else compute it a second time
-    score = F.pandas_udf(scores, "double").asNondeterministic()
+    score = F.pandas_udf(boosting.scores(shared), "double").asNondeterministic()
     return rows.withColumn("score", score(*[F.col(c).cast("double") for c in FEATURES]))
 
 
