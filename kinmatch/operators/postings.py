@@ -4,8 +4,8 @@ Hot keys are cut here to their first targets, not dropped as in `blocking`. Keys
 
 An entity meets some thousand targets, most of them by a single key, so pairs are never shuffled:
 source entities are dealt to parts, a part gets the posting lists of its keys once, and its pairs
-are summed, ranked and put out entity by entity. What travels grows with the parts times the hot
-keys, not with the pairs.
+are summed, ranked and put out entity by entity. A part is a range by country and name, so most
+lists are needed by few parts, and what travels doesn't grow with the pairs.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..workspace import written
+from ..workspace import discard, written
 
 # executors need not have this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -69,6 +69,7 @@ PART = 8_000
 #: Postings that are summed at once.
 CHUNK = 1_000_000
 _ON = ("h1", "h2")
+_FORM = ("country_norm", "name_norm", "address_norm")
 
 
 def _hashes(family: Column, key: Column) -> list[Column]:
@@ -77,32 +78,60 @@ def _hashes(family: Column, key: Column) -> list[Column]:
     return [F.xxhash64(*on).alias("h1"), F.xxhash64(F.lit(1), *on).alias("h2")]
 
 
-def _keyed(entities: DataFrame, *carry: str) -> DataFrame:
-    rows = entities.where(F.coalesce("country_norm", F.lit("")) != "").select("entity_id", "country_norm", "name_norm", "address_norm", *carry).distinct()
-    return rows.select("entity_id", "country_norm", *carry, posting_keys().alias("keys"))
+def _forms(entities: DataFrame, *carry: str) -> DataFrame:
+    """What keys are made of, of the entities that have a country. Keys are many times as wide, so
+    they are made where they are used and no table or shuffle of entities holds them."""
+    return entities.where(F.coalesce("country_norm", F.lit("")) != "").select("entity_id", *_FORM, *carry).distinct()
+
+
+def _count_of_parts(entities: DataFrame) -> int:
+    n, cores = entities.count(), entities.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-n // PART), min(cores, n // 500))
+
+
+def _exploded(entities: DataFrame, *columns: str) -> DataFrame:
+    """A row a key. The explode is an outer one, as for a plain one Spark adds a filter on the keys,
+    and makes them once more for it, below the shuffle of the entities."""
+    keyed = entities.select(*columns, "country_norm", posting_keys().alias("keys"))
+    return keyed.select(*columns, "country_norm", F.explode_outer("keys").alias("k")).where("k is not null")
 
 
 def _lists(target: DataFrame, order: list[str], most: int) -> DataFrame:
     """The cut index, a row a key: hashes, weight, positions of targets in `order`, their ids."""
-    rows = written(_keyed(target, *order), "targets")
-    numbered = written(rows.orderBy(*order).withColumn("n", F.monotonically_increasing_id()), "numbered")
+    numbered = written(_forms(target, *order).orderBy(*order).select("entity_id", *_FORM, F.monotonically_increasing_id().alias("n")), "numbered")
     weight = F.element_at(F.create_map(*[x for k, v in WEIGHTS.items() for x in (F.lit(k), F.lit(v).cast("long"))]), F.col("k.family"))
-    index = numbered.select("entity_id", "n", "country_norm", F.explode("keys").alias("k")).select("entity_id", "n", weight.alias("w"), *_hashes(F.col("k.family"), F.col("k.key")))
+    # narrow rows are dealt anew, as a task would read far more of them than it can hold the keys of;
+    # by country and name, so that most of a key's postings are cut before the shuffle
+    near = numbered.repartitionByRange(_count_of_parts(numbered), "country_norm", "name_norm", "n")
+    index = _exploded(near, "entity_id", "n").select("entity_id", "n", weight.alias("w"), *_hashes(F.col("k.family"), F.col("k.key")))
     rows = cut(index, ["n"], most, _ON).groupBy(*_ON).agg(F.first("w").alias("w"), F.collect_list(F.struct("n", "entity_id")).alias("x"))
     return rows.select(*_ON, "w", F.col("x.n").alias("ns"), F.col("x.entity_id").alias("ids"))
 
 
+def _in_parts(s1: DataFrame) -> tuple[DataFrame, int]:
+    """Source entities with their parts, and how many parts there are. A part is a range by country
+    and name, with all rows of an entity: its entities share their keys, so few parts need a list."""
+    entities = written(_forms(s1).groupBy("entity_id").agg(F.collect_set(F.struct(*_FORM)).alias("forms")), "entities")
+    parts = _count_of_parts(entities)
+    near = entities.withColumn("first", F.array_min("forms")).repartitionByRange(parts, "first.country_norm", "first.name_norm", "entity_id")
+    left = written(near.select(F.spark_partition_id().alias("part"), "entity_id", F.inline("forms")), "source")
+    discard(entities)
+    return left, parts
+
+
+def _dealt(s1: DataFrame, target: DataFrame, order: list[str], most: int) -> DataFrame:
+    """By part: the lists that its keys need, once each (no entity), then its entities in order."""
+    left, parts = _in_parts(s1)
+    wanted = _exploded(left.repartitionById(parts, F.col("part")), "part").select("part", *_hashes(F.col("k.family"), F.col("k.key"))).groupBy(*_ON).agg(F.collect_set("part").alias("parts"))
+    lists = _lists(target, order, most).join(wanted, list(_ON)).select(F.explode("parts").alias("part"), *_ON, "w", "ns", "ids")
+    return lists.unionByName(left, allowMissingColumns=True).repartitionById(parts, F.col("part")).sortWithinPartitions("part", F.col("entity_id").asc_nulls_first())
+
+
 def _matched(s1: DataFrame, target: DataFrame, order: list[str], most: int, top: int | None) -> DataFrame:
-    hashes = lambda k: F.struct(*_hashes(k["family"], k["key"]))
-    left = written(_keyed(s1).select("entity_id", F.transform("keys", hashes).alias("k")), "posting-keys")
-    n, cores = left.count(), s1.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, -(-n // PART), min(cores, n // 500))
-    left = left.select(F.pmod(F.xxhash64("entity_id"), F.lit(parts)).cast("int").alias("part"), "entity_id", "k")
-    wanted = left.select("part", F.explode("k").alias("k")).groupBy("k.h1", "k.h2").agg(F.collect_set("part").alias("parts"))
-    lists = _lists(target, order, most).join(wanted, list(_ON)).select(F.explode("parts").alias("part"), F.lit(None).cast("string").alias("entity_id"), F.array("h1").alias("h1"), F.array("h2").alias("h2"), "w", "ns", "ids")
-    rows = lists.unionByName(left.select("part", "entity_id", F.col("k.h1").alias("h1"), F.col("k.h2").alias("h2")), allowMissingColumns=True)
-    dealt = rows.repartitionById(parts, F.col("part")).sortWithinPartitions("part", F.col("entity_id").asc_nulls_first())
-    return dealt.mapInArrow(lambda batches: _pairs(batches, top), "source1_entity_id string, candidate_entity_id string, position long, score long")
+    dealt = _dealt(s1, target, order, most).withColumn("keys", posting_keys())
+    hashes = lambda i: F.transform("keys", lambda k: _hashes(k["family"], k["key"])[i])
+    rows = dealt.select("part", "entity_id", *[F.when(F.col("entity_id").isNull(), F.array(h)).otherwise(hashes(i)).alias(h) for i, h in enumerate(_ON)], "w", "ns", "ids")
+    return rows.mapInArrow(lambda batches: _pairs(batches, top), "source1_entity_id string, candidate_entity_id string, position long, score long")
 
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, pa.Array]:

@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from kinmatch import schema as S
 from kinmatch.operators import postings
@@ -61,3 +62,39 @@ def test_repeated_rows_count_once(spark):
     twice = postings.scored(f.s1.union(f.s1), f.target.union(f.target), ORDER).drop("position")
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
     assert postings.scored(f.s1.limit(0), f.target, ORDER).count() == postings.scored(f.s1, f.target.limit(0), ORDER).count() == 0
+
+
+def test_few_parts_get_a_list(spark, monkeypatch):
+    """A list travels once for each part that needs it."""
+
+    def lists(batches, top):
+        for b in batches:
+            part, lone = b.column("part").to_numpy(), b.column("entity_id").is_null().to_numpy(zero_copy_only=False)
+            for p in np.unique(part).tolist():
+                mine = (part == p) & lone
+                size = b.column("ns").filter(pa.array(mine)).value_lengths().sum().as_py() or 0
+                yield pa.RecordBatch.from_arrays([pa.array([str(p)]), pa.array([""]), pa.array([int(mine.sum())]), pa.array([size])], ["source1_entity_id", "candidate_entity_id", "position", "score"])
+
+    monkeypatch.setattr(postings, "PART", 20)
+    monkeypatch.setattr(postings, "_pairs", lists)
+    f = Frames(spark, "/root/testdata/sf0.01")
+    rows = postings.scored(f.s1, f.target, ORDER).collect()
+    assert len({r["source1_entity_id"] for r in rows}) > 10
+    assert sum(r["score"] for r in rows) < 120_000  # postings that travel; 169,598 if parts are dealt by a hash
+
+
+def test_tables_hold_no_keys(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(postings, "written", lambda df, name, f=postings.written: tables.append(f(df, name)) or tables[-1])
+    f = Frames(spark, SF)
+    postings.candidates(f.s1, f.target, ORDER)
+    wide = lambda t: [c for c, kind in t.dtypes if "key" in kind or "h1" in kind or c in ("key", "keys", "k")]
+    assert tables and not [wide(t) for t in tables if wide(t)]
+
+
+def test_all_rows_of_an_entity_are_in_one_part(spark, monkeypatch):
+    monkeypatch.setattr(postings, "PART", 3)
+    f = Frames(spark, SF)
+    other = f.s1.withColumn("name_norm", F.reverse("name_norm"))
+    pairs = postings.scored(f.s1.union(other), f.target, ORDER).select(*S.PAIR).collect()
+    assert len(pairs) == len(set(pairs)) >= postings.scored(f.s1, f.target, ORDER).count()
