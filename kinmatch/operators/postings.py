@@ -6,6 +6,10 @@ An entity meets some thousand targets, most of them by a single key, so pairs ar
 source entities are dealt to parts, a part gets the posting lists of its keys once, and its pairs
 are summed, ranked and put out entity by entity. A part is a range by country and name, so most
 lists are needed by few parts, and what travels doesn't grow with the pairs.
+
+`every_candidate` is the exact form without the two cuts: every posting of a key and every target
+that an entity meets. Parts of both sides meet where they have a country in common, and a key's
+targets in a part are bits, so that hot keys cost no more than their bits.
 """
 
 from __future__ import annotations
@@ -241,3 +245,119 @@ def scored(s1: DataFrame, target: DataFrame, order: list[str], most: int = S.DEF
 def candidates(s1: DataFrame, target: DataFrame, order: list[str], settings: S.Settings = S.DEFAULT) -> DataFrame:
     """The best `max_per_entity` pairs of each source entity, ties by the targets' order."""
     return _matched(s1, target, order, settings.max_postings, settings.max_per_entity).select(*S.PAIR)
+
+
+class _Whole(_Part):
+    """The uncut posting lists of some targets, by hash; those of hot keys as bits."""
+
+    def __init__(self, rows: list[pa.RecordBatch]):
+        t = pa.Table.from_batches(rows)
+        names = t.column("entity_id").combine_chunks()
+        codes = names.dictionary_encode()
+        self.ids, row = codes.dictionary, codes.indices.to_numpy()
+        lengths, h1 = _flat(t.column("h1").combine_chunks())
+        h1, h2, candidate = h1.to_numpy(), _flat(t.column("h2").combine_chunks())[1].to_numpy(), np.repeat(row, lengths)
+        by = np.lexsort((h2, h1))
+        h1, h2, self.candidate = h1[by], h2[by], candidate[by]
+        new = np.ones(len(h1), bool)
+        new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+        self.start = np.flatnonzero(new)
+        self.length = np.diff(self.start, append=len(h1))
+        self.h1, self.h2 = h1[self.start], h2[self.start]
+        wide = -(-len(self.ids) // 64) * 64
+        hot = np.flatnonzero(self.length > wide // 64)
+        self.hot = np.full(len(self.start), -1)
+        self.hot[hot] = np.arange(len(hot))
+        self.bits = np.empty((len(hot), wide // 64), np.uint64)
+        for k, x in enumerate(hot.tolist()):
+            mark = np.zeros(wide, bool)
+            mark[self.candidate[self.start[x] : self.start[x] + self.length[x]]] = True
+            self.bits[k] = np.packbits(mark).view(np.uint64)
+
+    def met(self, lists: np.ndarray) -> np.ndarray:
+        """The targets in any of the lists, once each."""
+        hot = self.hot[lists]
+        mark = np.unpackbits(np.bitwise_or.reduce(self.bits[hot[hot >= 0]], axis=0).view(np.uint8))
+        rest = lists[hot < 0]
+        lengths = self.length[rest]
+        ends = np.cumsum(lengths)
+        if len(rest):
+            mark[self.candidate[np.arange(ends[-1]) + np.repeat(self.start[rest] - ends + lengths, lengths)]] = 1
+        return np.flatnonzero(mark)
+
+
+def _every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by block: its targets first, then its source entities in order."""
+    number, targets, part = None, [], None
+    name, lists = None, []
+    entities, found, held = [], [], 0
+
+    def close():
+        """The pairs of the entity whose rows have been read."""
+        nonlocal name, lists, held
+        if lists:
+            entities.append(name)
+            found.append(part.met(np.concatenate(lists)))
+            held += len(found[-1])
+        name, lists = None, []
+
+    def done():
+        nonlocal entities, found, held
+        if held:
+            owner = np.repeat(np.arange(len(entities)), [len(x) for x in found])
+            yield pa.RecordBatch.from_arrays([pa.array(entities, pa.string()).take(pa.array(owner)), part.ids.take(pa.array(np.concatenate(found)))], list(S.PAIR))
+        entities, found, held = [], [], 0
+
+    for batch in batches:
+        numbers, source = batch.column("block").to_numpy(), batch.column("source").to_numpy(zero_copy_only=False)
+        bounds = [0, *(np.flatnonzero((np.diff(numbers) != 0) | (np.diff(source.astype(np.int8)) != 0)) + 1).tolist(), len(numbers)]
+        for a, b in zip(bounds, bounds[1:]):
+            if a == b:
+                continue
+            if numbers[a] != number:
+                close()
+                yield from done()
+                number, targets, part = numbers[a], [], None
+            run = batch.slice(a, b - a)
+            if not source[a]:
+                targets.append(run)
+                continue
+            if part is None:
+                part, targets = _Whole(targets), []
+            if not len(part.h1):
+                continue  # no target of the block has a key
+            lengths, h1 = _flat(run.column("h1"))
+            hits = part.find(h1.to_numpy(), run.column("h2").flatten().to_numpy())
+            ends = np.cumsum(lengths)
+            for x, begin, end in zip(run.column("entity_id").to_pylist(), (ends - lengths).tolist(), ends.tolist()):
+                if x != name:
+                    close()
+                    if held > CHUNK:
+                        yield from done()
+                    name = x
+                mine = hits[begin:end]
+                mine = mine[mine >= 0]
+                if len(mine):
+                    lists.append(mine)
+    close()
+    yield from done()
+
+
+def _fewer(entities: DataFrame, parts: int) -> DataFrame:
+    """Neighbouring parts as one where Spark made more than asked for: an entity goes to as many
+    blocks as there are parts on the other side."""
+    made = (entities.agg(F.max("part")).first()[0] or 0) + 1
+    return entities.withColumn("part", F.floor(F.col("part") * parts / made).cast("int")) if made > parts else entities
+
+
+def every_candidate(s1: DataFrame, target: DataFrame) -> DataFrame:
+    """All distinct pairs that share a key, however many postings it has and however many targets an
+    entity meets. An entity is in one part of its side, so a pair is found in one block."""
+    left, right = _fewer(*_in_parts(s1)), _fewer(*_in_parts(target))
+    countries = lambda df, side: df.select(F.col("part").alias(side), "country_norm").distinct()
+    blocks = countries(left, "i").join(countries(right, "j"), "country_norm").select("i", "j").distinct()
+    blocks = written(blocks.coalesce(1).select("i", "j", F.monotonically_increasing_id().alias("block")), "blocks")
+    of = lambda df, side: df.join(F.broadcast(blocks), F.col("part") == F.col(side)).select(F.col("block"), F.lit(side == "i").alias("source"), "entity_id", *_FORM)
+    dealt = of(right, "j").unionByName(of(left, "i")).repartitionById(max(1, blocks.count()), F.col("block").cast("int")).sortWithinPartitions("block", "source", "entity_id").withColumn("keys", posting_keys())
+    hashes = lambda i: F.transform("keys", lambda k: _hashes(k["family"], k["key"])[i])
+    return dealt.select("block", "source", "entity_id", *[hashes(i).alias(h) for i, h in enumerate(_ON)]).mapInArrow(_every, "source1_entity_id string, candidate_entity_id string")

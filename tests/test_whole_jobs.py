@@ -8,7 +8,7 @@ import pytest
 
 from kinmatch import schema as S
 from kinmatch.functions import text as X
-from kinmatch.operators import blocking, model
+from kinmatch.operators import blocking, model, postings
 from kinmatch.plans import registry
 from kinmatch.plans.fixtures import Frames
 
@@ -90,3 +90,34 @@ def test_hot_keys_do_not_join(spark):
     pairs = blocking.rule_pairs(*blocking.key_tables(a, b))
     assert pairs.count() == 0
     assert blocking.rule_pairs(*blocking.key_tables(a, b.limit(3))).where("rule = 'B01'").count() == 15
+
+
+@pytest.mark.parametrize("part", [None, 40])
+def test_candidates_beyond_the_cuts_of_postings(spark, duck, monkeypatch, part):
+    if part:
+        monkeypatch.setattr(postings, "PART", part)
+        monkeypatch.setattr(postings, "CHUNK", 1000)
+    whole = same(spark, duck, "m07_unbounded_candidates")
+    cut = duck.sql(registry.oracle_sql()["m07_postings_candidates"]).fetchall()
+    assert len(whole) == len(set(whole)) > len(cut) and set(whole) > set(cut)
+
+
+def test_every_target_of_a_hot_key(spark):
+    def side(rows):
+        return X.normalised(spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string"))
+
+    a = side([("S1-1", "acme", "", "us"), ("S1-1", "", "12 road", "de"), ("S1-2", "zzz", "", "us"), ("S1-3", "acme", "", None)])
+    b = side([(f"S2-{k}", "acme", "", "us") for k in range(700)] + [("S2-0", "", "12 road", "de"), ("S2-x", "", "", "us"), ("S2-y", "acme", "", "fr")])
+    got = [tuple(r) for r in postings.every_candidate(a, b).collect()]
+    assert sorted(got) == sorted(("S1-1", f"S2-{k}") for k in range(700))
+    target = b.withColumn("pos", b.entity_id)
+    assert postings.candidates(a, target, ["pos"]).distinct().count() == 250  # what the cuts leave of them
+    empty = side([("S2-x", "", "", "us")])
+    assert postings.every_candidate(a, empty).count() == postings.every_candidate(a.limit(0), b).count() == postings.every_candidate(a, b.limit(0)).count() == 0
+
+
+def test_parts_that_spark_made_too_many_of(spark):
+    many = spark.range(211).selectExpr("cast(id as int) as part")
+    got = [r.part for r in postings._fewer(many, 6).orderBy("part").collect()]
+    assert sorted(set(got)) == list(range(6)) and max(map(got.count, range(6))) <= 36
+    assert postings._fewer(many, 211) is many and postings._fewer(many.limit(0), 1).count() == 0
